@@ -86,17 +86,21 @@ def slice_history(
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
     max_boundaries: int = MAX_BOUNDARIES,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Number the slices of every key's history; adds two internal columns.
 
-    ``order`` should be a total order within a key. Equal rows share a slice.
+    ``order`` should be a total order within a key. Equal rows share a slice. If ``df``
+    is costly to compute, pass a cheaper ``sample`` with about the same ``keys`` and
+    ``order`` to take the boundaries from: any boundaries give the same result.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
+    sample = df if sample is None else sample
+    total = sample.select(F.count(F.lit(1))).scalar()
     rate = F.greatest(F.lit(rows_per_slice).cast("long"), F.floor(total / max_boundaries))
     renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)] or [F.lit(1).alias("__k0")]
     names = [f"__k{i}" for i in range(len(renamed))]
     splits = (
-        df.where(F.pmod(F.xxhash64(*keys, *order), rate) == 0)
+        sample.where(F.pmod(F.xxhash64(*keys, *order), rate) == 0)
         .select(*renamed, F.struct(*order).alias("__point"))
         .groupBy(*names)
         .agg(F.array_sort(F.collect_set("__point")).alias(_SPLITS))

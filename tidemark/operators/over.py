@@ -25,8 +25,9 @@ def count_over_range(df: DataFrame, keys: Sequence[str], ts: str, span: str, nam
     enter = F.struct(F.col(ts).alias("at"), F.lit(0).alias("leaves"), F.col("__n").alias("change"))
     leave = F.struct((F.col(ts) + interval(span)).alias("at"), F.lit(1).alias("leaves"), (-F.col("__n")).alias("change"))
     points = moments.select(*keys, F.explode(F.array(enter, leave)).alias("p")).select(*keys, "p.*")
-    swept = points.groupBy(*keys, "at", "leaves").agg(F.sum("change").alias("change"))
-    totals = prefix_scan(swept, keys, ["at", "leaves"], {name: running("change")}, **slicing).where("leaves = 0")
+    sample = df.select(*keys, F.col(ts).alias("at"), F.lit(0).alias("leaves"))
+    swept = prefix_scan(points, keys, ["at", "leaves"], {name: running("change")}, sample=sample, **slicing)
+    totals = swept.where("leaves = 0")
     renamed = {k: f"__o{i}" for i, k in enumerate([*keys, ts])}
     counted = totals.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate([*keys, "at"])], name)
     same = F.lit(True)

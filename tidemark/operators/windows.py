@@ -14,6 +14,7 @@ from tidemark.functions.times import interval, last_millisecond, micros, time_bu
 from tidemark.operators.history import (
     Fold, highest, number_rows, prefix_scan, scan_slices, slice_history, unslice, with_group_stats,
 )
+from tidemark.runtime import cut_lineage
 
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -186,8 +187,10 @@ def best_of_last(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[st
         {"__bucket": F.col("__p.b"), "__at": F.col("__p.at"), "__side": F.col("__p.side")}
     ).drop("__p")
     on_row = F.when(F.col("__side") == 1, F.col("__rank"))
+    sample = ranked.withColumns({"__at": F.col(ts), "__side": F.lit(1)})
     tail = prefix_scan(
-        spread, [*keys, "__bucket"], ["__at", "__side", *order], {"__tail": highest(on_row)}, backward=True, **slicing
+        spread, [*keys, "__bucket"], ["__at", "__side", *order], {"__tail": highest(on_row)},
+        backward=True, sample=sample, **slicing,
     )
     found = tail.where(F.col("__side") == 0).withColumn(name, F.greatest("__head", "__tail"))
     return found.drop("__rank", "__bucket", "__wanted", "__head", "__at", "__side", "__tail")
@@ -230,10 +233,11 @@ def delta_fires(df: DataFrame, keys: Sequence[str], order: Sequence[str], measur
 def delta_trigger_window(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], measure: str, threshold: float, keep: str, best: str, tie: Sequence[Column], **slicing) -> DataFrame:
     """On each firing of ``delta_fires``: the row of the last ``keep`` with the highest ``best``.
 
-    ``tie`` lists columns that decide among equals (higher wins).
+    ``tie`` lists columns that decide among equals (higher wins). ``df`` is read several
+    times: pass a table, or a result that has been written once. The firings are.
     """
     keys, order = list(keys), list(order)
-    fires = delta_fires(df, keys, order, measure, threshold, **slicing)
+    fires = cut_lineage(delta_fires(df, keys, order, measure, threshold, **slicing), "fires")
     fired = fires.select(*[F.col(c).alias(f"__f_{c}") for c in [*keys, *order]], F.lit(True).alias("__fired"))
     same = F.lit(True)
     for c in [*keys, *order]:

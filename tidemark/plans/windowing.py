@@ -6,6 +6,7 @@ from tidemark.operators import aggs, watermarks, windows
 from tidemark.operators.history import highest, lowest, running
 from tidemark.plans.aggregates import K, one, with_k
 from tidemark.plans.registry import report
+from tidemark.runtime import cut_lineage
 
 ORDER = ["ts", "event_id"]
 
@@ -152,6 +153,7 @@ def positions_in_window(t):
 def top_speed(t):
     driven = aggs.running_sum(t("events"), ["user_id"], F.col("value").cast("decimal(18,2)"), ORDER, "distance")
     driven = driven.withColumn("distance", F.col("distance").cast("double")).select("user_id", *ORDER, "value", "distance")
+    driven = cut_lineage(driven, "driven")
     earliest = [-F.unix_micros(F.col("ts").cast("timestamp")), -F.col("event_id")]
     out = windows.delta_trigger_window(driven, ["user_id"], "ts", ORDER, "distance", 150.0, "12 hours", "value", earliest)
     return out.select("user_id", "event_id", "top_value", F.col("top_row.event_id").alias("top_event"))

@@ -8,7 +8,7 @@ import time
 import uuid
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -41,10 +41,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df):
-    """Write an expensive intermediate result once, to the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write a result that is used several times once, as a table in the shared folder.
+
+    Later steps read only the columns they need of it, and a lost executor does not bring
+    the work before it back. This runs a job when it is called.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stream_options(writer, checkpoint_dir: str, interval: str | None = None, name: str | None = None):
