@@ -87,15 +87,17 @@ def slice_history(
     rows_per_slice: int = ROWS_PER_SLICE,
     max_boundaries: int = MAX_BOUNDARIES,
     sample: DataFrame | None = None,
+    total: Column | None = None,
 ) -> DataFrame:
     """Number the slices of every key's history; adds two internal columns.
 
     ``order`` should be a total order within a key. Equal rows share a slice. If ``df``
     is costly to compute, pass a cheaper ``sample`` with about the same ``keys`` and
-    ``order`` to take the boundaries from: any boundaries give the same result.
+    ``order`` to take the boundaries from: any boundaries give the same result. ``total``
+    is the number of its rows, or a number not far above it, if that is known.
     """
     sample = df if sample is None else sample
-    total = sample.select(F.count(F.lit(1))).scalar()
+    total = sample.select(F.count(F.lit(1))).scalar() if total is None else total
     rate = F.greatest(F.lit(rows_per_slice).cast("long"), F.floor(total / max_boundaries))
     renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)] or [F.lit(1).alias("__k0")]
     names = [f"__k{i}" for i in range(len(renamed))]

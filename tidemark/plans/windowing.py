@@ -81,9 +81,11 @@ def user_sessions(t):
         WHERE at_row % 5 = 0""",
 )
 def word_count_windows(t):
-    words = t("documents").select("doc_id", F.posexplode(F.split(F.lower("text"), r"\W+")).alias("pos", "token"))
+    docs = t("documents")
+    words = docs.select("doc_id", F.posexplode(F.split(F.lower("text"), r"\W+")).alias("pos", "token")).where("token <> ''")
     folds = {"n": running(one()), "doc_sum": running("doc_id")}
-    return windows.count_window_slide(words.where("token <> ''"), ["token"], ["doc_id", "pos"], 10, 5, folds)
+    at_most = docs.agg(F.sum("n_chars")).scalar()
+    return windows.count_window_slide(words, ["token"], ["doc_id", "pos"], 10, 5, folds, total=at_most)
 
 
 @report(
