@@ -20,8 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 1 << 22
+ROWS_PER_SLICE = 1 << 20
 MAX_BOUNDARIES = 1 << 16
+# Boundaries are looked up in two steps, so that a row never carries more than one block.
+BLOCK = 256
 
 _SLICE, _SPLITS, _ONE = "__slice", "__splits", "__one"
 
@@ -105,14 +107,30 @@ def slice_history(
         sample.where(F.pmod(F.xxhash64(*keys, *order), rate) == 0)
         .select(*renamed, F.struct(*order).alias("__point"))
         .groupBy(*names)
-        .agg(F.array_sort(F.collect_set("__point")).alias(_SPLITS))
+        .agg(F.array_sort(F.collect_set("__point")).alias("__all"))
     )
+    firsts = F.sequence(F.lit(0), F.size("__all") - 1, F.lit(BLOCK))
+    coarse = splits.select(*names, F.transform(firsts, lambda i: F.get("__all", i)).alias("__coarse"))
+    blocks = F.transform(firsts, lambda i: F.struct(i.alias("first"), F.slice("__all", i + 1, BLOCK).alias("points")))
+    fine = splits.select(
+        *[F.col(n).alias(f"{n}_") for n in names], F.posexplode(blocks).alias("__position", "__cut_block")
+    ).select(*[f"{n}_" for n in names], (F.col("__position") + 1).alias("__cut_number"), "__cut_block")
     if not keys:
         df = df.withColumn(_ONE, F.lit(1))
         keys = [_ONE]
-    joined = df.join(F.broadcast(splits), _same(df, splits, zip(keys, names)), "left").drop(*names)
-    sliced = joined.withColumn(_SLICE, _boundaries_at_or_before(F.struct(*order), F.col(_SPLITS)))
-    return sliced.withColumn(_SPLITS, F.col(_SPLITS).isNotNull())
+    point = F.struct(*order)
+    found = (
+        df.join(F.broadcast(coarse), _same(df, coarse, zip(keys, names)), "left")
+        .withColumn("__cut_at", _boundaries_at_or_before(point, F.col("__coarse")))
+        .withColumn(_SPLITS, F.col("__coarse").isNotNull())
+        .drop("__coarse", *names)
+    )
+    pairs = [*zip(keys, [f"{n}_" for n in names]), ("__cut_at", "__cut_number")]
+    placed = found.join(F.broadcast(fine), _same(found, fine, pairs), "left")
+    inside = F.col("__cut_block.first") + _boundaries_at_or_before(point, F.col("__cut_block.points"))
+    return placed.withColumn(_SLICE, F.coalesce(inside, F.lit(0))).drop(
+        "__cut_block", "__cut_number", "__cut_at", *[f"{n}_" for n in names]
+    )
 
 
 def unslice(df: DataFrame) -> DataFrame:

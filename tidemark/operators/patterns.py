@@ -39,17 +39,28 @@ class Machine:
     def run(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """For each row and each state before its run: the state after the row.
 
-        Runs begin where ``starts`` is set. Steps are composed by doubling distances.
+        Runs begin where ``starts`` is set. The rows are laid out as a square; steps are
+        composed along all its lines at once, then the lines are joined up.
         """
-        after = self.next[:, codes].T.copy()
-        position = np.arange(len(codes))
-        offset = position - np.maximum.accumulate(np.where(starts, position, 0))
-        distance = 1
-        while distance <= offset.max(initial=0):
-            rows = np.flatnonzero(offset >= distance)
-            after[rows] = np.take_along_axis(after[rows], after[rows - distance], axis=1)
-            distance *= 2
-        return after
+        n, k = len(codes), len(self.states)
+        width = int(np.ceil(np.sqrt(max(n, 1))))
+        lines = -(-n // width)
+        after = np.tile(np.arange(k), (lines * width, 1))
+        after[:n] = self.next[:, codes].T
+        after = after.reshape(lines, width, k)
+        begins = np.zeros(lines * width, bool)
+        begins[:n] = starts
+        begins = begins.reshape(lines, width)
+        for j in range(1, width):
+            both = np.take_along_axis(after[:, j], after[:, j - 1], axis=1)
+            after[:, j] = np.where(begins[:, j, None], after[:, j], both)
+        begun = np.logical_or.accumulate(begins, axis=1)
+        before = np.tile(np.arange(k), (lines, 1))
+        for i in range(1, lines):
+            last = after[i - 1, -1]
+            before[i] = last if begun[i - 1, -1] else last[before[i - 1]]
+        joined = np.take_along_axis(after, np.broadcast_to(before[:, None], after.shape), axis=2)
+        return np.where(begun[:, :, None], after, joined).reshape(-1, k)[:n]
 
 
 def _marked(sliced: DataFrame, keys, order) -> DataFrame:

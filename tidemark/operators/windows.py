@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidemark.functions.times import interval, last_millisecond, micros, time_bucket
 from tidemark.operators.history import (
-    Fold, highest, number_rows, prefix_scan, scan_slices, slice_history, unslice, with_group_stats,
+    _ONE, _SLICE, _SPLITS, _same, Fold, highest, number_rows, prefix_scan, scan_slices, slice_history, unslice, with_group_stats,
 )
 from tidemark.runtime import cut_lineage
 
@@ -196,38 +197,109 @@ def best_of_last(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[st
     return found.drop("__rank", "__bucket", "__wanted", "__head", "__at", "__side", "__tail")
 
 
+def _pieces(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = [0, *(np.flatnonzero(starts[1:]) + 1), len(starts)]
+    return zip(cuts, cuts[1:])
+
+
+def _exits(values: np.ndarray, threshold: float) -> tuple[list[float], list[float]]:
+    """What a slice of rising values does to the base it is entered with.
+
+    A base below the slice first fires at some value up to the one that the first value
+    itself would lead to; each of those leads to a last firing in the slice. Neighbours
+    with the same last firing are put together: ``(highest first firing, last firing)``.
+    """
+    n = len(values)
+    follows = np.searchsorted(values, values + threshold, "right")
+    last = np.where(follows < n, follows, np.arange(n))
+    while True:
+        further = last[last]
+        if (further == last).all():
+            break
+        last = further
+    ends = values[last[: min(n, follows[0] + 1)]]
+    changes = np.append(np.flatnonzero(np.diff(ends)), len(ends) - 1)
+    return values[changes].tolist(), ends[changes].tolist()
+
+
 def delta_fires(df: DataFrame, keys: Sequence[str], order: Sequence[str], measure: str, threshold: float, **slicing) -> DataFrame:
     """Rows at which ``measure`` has grown by more than ``threshold`` since the last firing.
 
     The first row of a key sets the base without firing. Only a row above everything
-    before it can fire, so just those rows, key and measure only, go through the chain.
-    The chain itself runs in order per key over sorted Arrow batches and keeps one number.
+    before it can fire, so just those rows, key and measure only, are looked at. Of a long
+    history each slice first tells where it would end for every base it may be entered
+    with (``_exits``); going through these gives the base each slice really starts from,
+    and the slices then run side by side.
     """
     keys, order = list(keys), list(order)
-    slim = df.select(*keys, *order, measure)
-    seen = prefix_scan(slim, keys, order, {"__before": highest(measure)}, inclusive=False, **slicing)
+    slim = df.select(*keys, *order, measure).where(F.col(measure).isNotNull())
+    sliced = slice_history(slim, keys, order, **slicing)
+    ids = [*(keys or [_ONE]), _SLICE]
+    seen = scan_slices(sliced, keys, order, {"__before": highest(measure)}, inclusive=False)
     records = seen.where(F.col("__before").isNull() | (F.col(measure) > F.col("__before"))).drop("__before")
-    history = Window.partitionBy(*keys).orderBy(*order)
-    marked = records.withColumn("__starts", F.row_number().over(history) == 1)
+    in_slice = F.row_number().over(Window.partitionBy(*ids).orderBy(*order)) == 1
+    in_key = F.row_number().over(Window.partitionBy(*ids[:-1]).orderBy(_SLICE)) == 1
+    fields, columns = list(sliced.select(*ids).schema), slim.columns
 
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def told(held, parts):
+            values = np.concatenate(parts)
+            upto, ends = _exits(values, threshold)
+            return held.assign(lowest=values[0], highest=values[-1], upto=[upto], ends=[ends])
+
+        held, parts = None, []
+        for batch in batches:
+            values, starts = batch[measure].to_numpy(float), batch["__starts"].to_numpy(bool)
+            for low, high in _pieces(starts):
+                if starts[low]:
+                    if held is not None:
+                        yield told(held, parts)
+                    held, parts = batch[ids].iloc[[low]], []
+                parts.append(values[low:high])
+        if held is not None:
+            yield told(held, parts)
+
+    def through(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = None
+        for batch in batches:
+            enters = []
+            for starts, lowest, top, upto, ends in zip(*(batch[c] for c in ("__starts", "lowest", "highest", "upto", "ends"))):
+                enters.append(None if starts else base)
+                base = lowest if starts else base
+                if base + threshold < top:
+                    base = ends[np.searchsorted(upto, base + threshold, "right")]
+            yield batch[ids].assign(__enters=pd.array(enters, "Float64"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = 0.0
         for batch in batches:
-            values = batch[measure].to_numpy(float)
-            starts = batch.pop("__starts").to_numpy(bool)
-            cuts = [0, *(np.flatnonzero(starts[1:]) + 1), len(values)]
+            values, starts = batch[measure].to_numpy(float), batch["__starts"].to_numpy(bool)
+            enters = batch["__enters"].to_numpy(float, na_value=np.nan)
             fired = []
-            for low, high in zip(cuts, cuts[1:]):
+            for low, high in _pieces(starts):
                 if starts[low]:
-                    base = values[low]
+                    base = values[low] if np.isnan(enters[low]) else enters[low]
                 at = low + np.searchsorted(values[low:high], base + threshold, "right")
                 while at < high:
                     fired.append(at)
                     base = values[at]
                     at = low + np.searchsorted(values[low:high], base + threshold, "right")
-            yield batch.iloc[fired]
-
-    return marked.mapInPandas(chain, slim.schema)
+            yield batch.iloc[fired][columns]
+
+    told = StructType(fields + [
+        StructField("lowest", DoubleType()), StructField("highest", DoubleType()),
+        StructField("upto", ArrayType(DoubleType())), StructField("ends", ArrayType(DoubleType())),
+    ])
+    hot = records.where(F.col(_SPLITS)).select(*ids, *order, measure).withColumn("__starts", in_slice)
+    slices = hot.select(*ids, measure, "__starts").mapInPandas(whole_slices, told)
+    entering = slices.withColumn("__starts", in_key).mapInPandas(
+        through, StructType([*fields, StructField("__enters", DoubleType())])
+    )
+    renamed = {c: f"__d{i}" for i, c in enumerate(ids)}
+    entering = entering.withColumnsRenamed(renamed)
+    entered = records.join(F.broadcast(entering), _same(records, entering, renamed.items()), "left")
+    marked = entered.withColumn("__starts", in_slice).select(*columns, "__starts", "__enters")
+    return marked.mapInPandas(run, slim.schema)
 
 
 def delta_trigger_window(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], measure: str, threshold: float, keep: str, best: str, tie: Sequence[Column], **slicing) -> DataFrame:
