@@ -102,13 +102,10 @@ def top_n(df: DataFrame, key: str, metric: Column, name: str, n: int) -> DataFra
 def max_by_row(df: DataFrame, keys: Sequence[str], column: str, order: Sequence[str]) -> DataFrame:
     """The whole row with the highest value per group; the earliest one on ties.
 
-    Found as the highest value, then the lowest order among its holders: two aggregates
-    that both combine before the shuffle.
+    Spark applies the limit of one row per group before the shuffle as well.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys, column).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("row"))
-    best = picked.groupBy(*keys).agg(F.max_by("row", column).alias("row"))
-    return best.select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])
+    best = Window.partitionBy(*keys).orderBy(F.col(column).desc(), *order)
+    return df.withColumn("__rank", F.row_number().over(best)).where(F.col("__rank") <= 1).drop("__rank")
 
 
 def window_summary(df: DataFrame, keys: Sequence[str], ts: str, size: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,6 +45,14 @@ def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], into: s
     _write_batch(read_upserted(spark, path, keys), into, 0)
 
 
+def _commits(spark: SparkSession, commits: str, txn_id: str) -> DataFrame:
+    schema = "txn_id string, committed_batch long"
+    try:
+        return spark.read.schema(schema).parquet(f"{commits}/{txn_id}")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def exactly_once_sink(path: str, commits: str, txn_id: str) -> BatchSink:
     """Rows first, then one commit record; a batch with a commit record is skipped.
 
@@ -52,21 +61,18 @@ def exactly_once_sink(path: str, commits: str, txn_id: str) -> BatchSink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = "txn_id string, committed_batch long"
-        marker = spark.createDataFrame([(txn_id, batch_id)], schema)
-        target = f"{commits}/{txn_id}"
-        spark.createDataFrame([], schema).write.mode("append").parquet(target)
-        done = spark.read.schema(schema).parquet(target).where(F.col("committed_batch") == batch_id)
-        if not done.isEmpty():
+        done = _commits(spark, commits, txn_id)
+        if not done.where(F.col("committed_batch") == batch_id).isEmpty():
             return
         _write_batch(batch, path, batch_id)
-        marker.write.mode("append").parquet(target)
+        record = spark.createDataFrame([(txn_id, batch_id)], done.schema)
+        record.coalesce(1).write.mode("append").parquet(f"{commits}/{txn_id}")
 
     return write
 
 
 def read_committed(spark: SparkSession, path: str, commits: str, txn_id: str) -> DataFrame:
-    done = spark.read.schema("txn_id string, committed_batch long").parquet(f"{commits}/{txn_id}").distinct()
+    done = _commits(spark, commits, txn_id).distinct()
     rows = spark.read.option("basePath", path).parquet(path)
     return rows.join(done, rows["batch_id"] == done["committed_batch"], "left_semi").drop("batch_id")
 
