@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.watermarks import mark_late
 from tidemark.runtime import fresh_dir, stream_options
-from tidemark.sinks.batches import BatchSink, _write_batch, read_upserted, upsert_sink
+from tidemark.sinks.batches import BatchSink, _write_batch, read_upserted, several, upsert_sink
 
 
 def drain(df: DataFrame, sink: BatchSink, mode: str = "append", checkpoint: str | None = None) -> None:
@@ -63,7 +63,7 @@ def late_rows_sink(path: str, ts: str, delay: str, size: str, arrival: Sequence[
         late = F.col("is_late") | F.coalesce(F.expr("window_end - INTERVAL 1 millisecond") <= limit, F.lit(False))
         _write_batch(marked.withColumn("is_late", late), f"{path}/rows", batch_id)
 
-    return write
+    return several(write)
 
 
 def read_late_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
