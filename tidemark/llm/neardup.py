@@ -16,10 +16,14 @@ from tidemark.llm.words import Words, chunks, hash_words, mix, shingles
 
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
+#: Buckets that members of different classes must share to be compared: of similarity 0.8, 0.3 % share fewer.
+MEETINGS = 2
 #: Document frequencies are counted in so many buckets of shingle hashes.
 DF_BITS = 18
 #: Shingles of less than this share of the documents have the full weight; so many documents are added to the count.
-RARE, PRIOR = 0.01, 1000
+RARE, PRIOR = 0.1, 1000
+#: Shingles that a task keeps of the texts it has compared.
+KNOWN = 1 << 21
 TABLE_BITS = 12
 BLOCK = 4096
 
@@ -81,8 +85,9 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def _weighted(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles and their weights: 1 + log of the count, times the weight of the shingle."""
     unique, counts = np.unique(hashes, return_counts=True)
-    return unique, counts * idf[(unique >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+    return unique, (1 + np.log(counts)) * idf[(unique >> np.uint64(64 - DF_BITS)).astype(np.int64)]
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -104,7 +109,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
     The table has 2**DF_BITS entries at any input size. A bucket's weight is the log of documents per document with one of
     its shingles, as a share of the log at RARE and at most 1: in a small corpus and for shingles of few documents it is 1,
-    for what a third of all documents have about a quarter.
+    for what a third of all documents have about a half.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +141,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     compared without case, and what lies between words doesn't count. Texts of fewer words are one shingle. Texts without
     a word are copies only of equal texts; null texts are alone. A null doc_id comes after all others.
 
-    Texts with the same words are collapsed before anything is compared. Each bucket's members are compared with its
-    smallest; a member that this leaves outside is compared with every member of its bucket in another class, so no link
-    within a bucket is lost and no bucket is paired with itself.
+    Texts with the same words are collapsed before anything is compared. Each bucket's members are compared with three of
+    them; where that leaves a bucket in several classes, the members outside the largest are compared with every member
+    of another class that they meet MEETINGS times. Members of one class are not paired.
     """
     spark = docs.sparkSession
     named = docs.select(order_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
@@ -166,45 +171,50 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sketches = cut(texts.select("doc", "version", "text").mapInArrow(sketch, "doc long, version long, node long, bands array<long>"))
     distinct = cut(sketches.groupBy("node").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")))
     members = distinct.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = members.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    hubs = [F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node"))]
+    buckets = members.groupBy("band", "key").agg(F.array(*hubs).alias("hubs"), F.count("*").alias("n")).where("n > 1")
     shared = cut(members.join(buckets.drop("n"), ["band", "key"]))
-    pairs = shared.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    to_hubs = shared.select(F.col("node").alias("a"), F.explode("hubs").alias("b")).where("a <> b")
+    pairs = to_hubs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
     needed = shared.select("node").distinct().join(distinct.select("node", "doc"), "node")
     node_texts = cut(named.join(needed, "doc").select("node", "text").where(F.col("text").isNotNull()))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        size = 0
         for batch in batches:
+            linked = []
             u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            sides = {}
-            for name, nodes in (("u", u), ("v", v)):
-                for at, part in chunks(batch.column(f"text_{name}")):
-                    fresh = {nodes[at + k]: text for k, text in enumerate(part) if name == "u" or nodes[at + k] not in known}
-                    words = hash_words(list(fresh.values()) or [b""])
-                    hashes, begins = shingles(words)
-                    for k, (node, text) in enumerate(fresh.items()):
-                        if _name(words, k, text) == node:
-                            sides[node] = _weighted(hashes[begins[k] : begins[k + 1]], idf.value)
-            linked = [(a, b) for a, b in zip(u, v) if a in sides and (b in sides or b in known) and weighted_jaccard(sides[a], sides.get(b) or known[b]) >= threshold]
-            if v and v[-1] in sides:
-                known = {v[-1]: sides[v[-1]]}
+            text_u, text_v = batch.column("text_u"), batch.column("text_v")
+            for k, pair in enumerate(zip(u, v)):
+                if size > KNOWN:
+                    known, size = {}, 0
+                for node, column in zip(pair, (text_u, text_v)):
+                    if node not in known:
+                        text = column[k].as_py().encode()
+                        words = hash_words([text])
+                        known[node] = _weighted(shingles(words)[0], idf.value) if _name(words, 0, text) == node else (np.zeros(0, np.uint64), np.zeros(0))
+                        size += len(known[node][0])
+                if weighted_jaccard(known[pair[0]], known[pair[1]]) >= threshold:
+                    linked.append(pair)
             yield pa.RecordBatch.from_pydict({"u": pa.array([a for a, _ in linked], pa.int64()), "v": pa.array([b for _, b in linked], pa.int64())})
 
     def verified(candidates: DataFrame) -> DataFrame:
-        """The links among candidate pairs (u, v); the rows come sorted by v, whose text is then looked at once."""
+        """The links among candidate pairs (u, v); texts that come again within a task are hashed once."""
         left = candidates.join(node_texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
         both = left.join(node_texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v")
         return both.select("u", "v", "text_u", "text_v").mapInArrow(verify, "u long, v long")
 
     links = cut(verified(pairs))
     roots = cut(components(links))
-    placed = shared.join(roots, "node", "left").select("band", "key", "node", "hub", F.coalesce("root", "node").alias("root"))
-    hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    outside = placed.join(hub_roots, "hub", "left").where(F.col("root") != F.coalesce("hub_root", "hub"))
-    outside = outside.select("band", "key", F.col("node").alias("u"), F.col("root").alias("u_root"))
-    second = outside.join(placed.where("node <> hub").select("band", "key", F.col("node").alias("v"), "root"), ["band", "key"]).where(F.col("u_root") != F.col("root"))
-    more = cut(verified(second.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+    placed = cut(shared.select("band", "key", "node").join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root")))
+    main = placed.groupBy("band", "key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root", deterministic=True).alias("main")).where("least < most")
+    mixed = placed.join(main.select("band", "key", "main"), ["band", "key"])
+    outside = mixed.where("root <> main").select("band", "key", F.col("node").alias("u"), F.col("root").alias("u_root"))
+    second = outside.join(mixed.select("band", "key", F.col("node").alias("v"), "root"), ["band", "key"]).where(F.col("u_root") != F.col("root"))
+    met = second.groupBy(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).agg(F.bit_count(F.bit_or(F.expr("shiftleft(1L, band)"))).alias("n"))
+    more = cut(verified(met.where(F.col("n") >= MEETINGS).select("u", "v")))
     if not more.isEmpty():
         roots = cut(components(links.union(more)))
 
