@@ -11,20 +11,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import order_id, text_key, whole_text
 from tidemark.llm.words import WORDS, Words, chunks, hash_words, shingles
 
-#: Passages are so many words long and begin every STRIDE words; longer items are indexed in segments of PASSAGE words.
-PASSAGE, STRIDE = 64, 16
+#: Items are indexed in segments of so many words. Passages are longer by STRIDE and begin every STRIDE words, so that each
+#: run of SEGMENT words lies within one.
+SEGMENT, STRIDE = 64, 16
+PASSAGE = SEGMENT + STRIDE
 #: A passage is retrieved for an item if its score is this share of the score that the item itself would get.
-SCORE_SHARE = 0.5
+SCORE_SHARE = 0.6
 #: Shares of the words of question and answer that five-word windows of the document must cover.
 QUESTION, ANSWER = 0.8, 0.6
 K1, B = 1.2, 0.75
-BLOCK = 16
+BLOCK = 4
+#: Sums of bounds that are held at a time.
+CELLS = 1 << 22
 #: Bytes of item text that one index holds; more items are searched for in several passes over the documents.
 INDEX_BYTES = 32 << 20
 TABLE_BITS = 20
-#: Terms in more than this share of the segments only count after the first bound.
+#: Terms in more than this share of the segments only count after the first bounds.
 COMMON = 0.1
 
 
@@ -38,8 +43,10 @@ class Index(NamedTuple):
     block_begins: np.ndarray
     blocks: np.ndarray
     block_scores: np.ndarray
-    #: The first bound of a word by bits of its hash, common terms left out, and what these can add to any score.
-    first_bound: np.ndarray
+    n_blocks: int
+    #: Which hash bits begin a term that is not common, which terms are common, and what these can add to any score.
+    known_bits: np.ndarray
+    common: np.ndarray
     common_most: float
     segment_item: np.ndarray
     item_words: list[np.ndarray]
@@ -65,7 +72,7 @@ def build_index(items: list[tuple[object, str]]) -> Index | None:
             answers.append(int(own.begins[1]))
     if not ids:
         return None
-    segments = [(k, w[at : at + PASSAGE]) for k, w in enumerate(words) for at in range(0, len(w), PASSAGE) if at == 0 or len(w) - at >= WORDS]
+    segments = [(k, w[at : at + SEGMENT]) for k, w in enumerate(words) for at in range(0, len(w), SEGMENT) if at == 0 or len(w) - at >= WORDS]
     lengths = np.array([len(w) for _, w in segments], dtype=np.float64)
     term = np.concatenate([w for _, w in segments])
     segment = np.repeat(np.arange(len(segments)), lengths.astype(int))
@@ -81,14 +88,13 @@ def build_index(items: list[tuple[object, str]]) -> Index | None:
     cells, at = np.unique(cell, return_index=True)
     block_scores = np.maximum.reduceat(scores, at)
     common = spread > max(COMMON * len(segments), 1)
-    bound = np.maximum.reduceat(scores, begins)
-    first = np.zeros(1 << TABLE_BITS, dtype=np.float32)
-    np.maximum.at(first, (terms[~common] >> np.uint64(64 - TABLE_BITS)).astype(np.int64), bound[~common].astype(np.float32))
+    bits = np.zeros(1 << TABLE_BITS, dtype=bool)
+    bits[(terms[~common] >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
     most = np.bincount(pair.s, weights=scores * common[of_term], minlength=len(segments)).max()
     return Index(
         terms, np.append(begins, len(scores)), pair.s.astype(np.int64), scores,
         np.searchsorted(cells // (len(segments) // BLOCK + 1), np.arange(len(terms) + 1)), cells % (len(segments) // BLOCK + 1), block_scores,
-        first, float(most), np.array([k for k, _ in segments]), words, answers, ids,
+        len(segments) // BLOCK + 1, bits, common, float(most), np.array([k for k, _ in segments]), words, answers, ids,
     )
 
 
@@ -125,29 +131,55 @@ def _covered(item: np.ndarray, known: np.ndarray) -> np.ndarray:
     return covered
 
 
-def search(index: Index, words: Words, k: int, least: float, question: float, answer: float) -> Iterator[tuple[int, float, float, float]]:
-    """Items found in text k: item, best score, and the covered shares of its question and its answer."""
-    own = words.hashes[words.begins[k] : words.begins[k + 1]]
-    n = len(own)
-    if n < WORDS:
-        return
-    sums = np.concatenate(([0.0], np.cumsum(index.first_bound[(own >> np.uint64(64 - TABLE_BITS)).astype(np.int64)], dtype=np.float64)))
-    starts = np.arange(0, max(n - PASSAGE, 0) + STRIDE, STRIDE)
-    bound = sums[np.minimum(starts + PASSAGE, n)] - sums[np.minimum(starts, n)]
-    best: dict[int, float] = {}
-    for start in starts[bound >= least - index.common_most - 1e-6]:
-        for segment, score in retrieve(index, own[start : start + PASSAGE], least).items():
-            item = int(index.segment_item[segment])
-            best[item] = max(score, best.get(item, 0.0))
-    if not best:
-        return
-    known = shingles(Words(own, np.array([0, n]), own, own, own))[0]
-    for item, score in best.items():
-        covered = _covered(index.item_words[item], known)
-        cut = index.answers[item]
-        asked, answered = float(covered[:cut].mean()) if cut else 1.0, float(covered[cut:].mean()) if cut < len(covered) else 1.0
-        if asked >= question and answered >= answer:
-            yield item, score, asked, answered
+def likely_passages(index: Index, words: Words, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and first words of the passages whose bound for some block of segments reaches least.
+
+    Words are looked up once and their block bounds summed in cells of STRIDE words; a passage is a run of cells. Common
+    terms are not looked up, their largest share of any score is added instead. Passages at the end of a text are bounded
+    together with the words behind it, which can only raise the bound.
+    """
+    counts = np.diff(words.begins)
+    cell_begins = np.concatenate(([0], np.cumsum(-(-counts // STRIDE))))
+    at = np.flatnonzero(index.known_bits[(words.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+    row = np.minimum(np.searchsorted(index.terms, words.hashes[at]), len(index.terms) - 1)
+    same = (index.terms[row] == words.hashes[at]) & ~index.common[row]
+    at, row = at[same], row[same]
+    text = np.searchsorted(words.begins, at, "right") - 1
+    cell = cell_begins[text] + (at - words.begins[text]) // STRIDE
+    per, step = PASSAGE // STRIDE, max(1, CELLS // index.n_blocks)
+    found = []
+    for low in range(0, int(cell_begins[-1]), step):
+        high = min(low + step, int(cell_begins[-1]))
+        first, last = np.searchsorted(cell, (low, high + per - 1))
+        rows = row[first:last]
+        where = _slices(index.block_begins, rows)
+        sizes = index.block_begins[rows + 1] - index.block_begins[rows]
+        key = np.repeat(cell[first:last] - low, sizes) * index.n_blocks + index.blocks[where]
+        sums = np.bincount(key, weights=index.block_scores[where], minlength=(high - low + per) * index.n_blocks).reshape(-1, index.n_blocks)
+        bound = sum(sums[k : k + high - low] for k in range(per)).max(axis=1)
+        found.append(low + np.flatnonzero(bound >= least - index.common_most - 1e-6))
+    cells = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+    text = np.searchsorted(cell_begins, cells, "right") - 1
+    return text, (cells - cell_begins[text]) * STRIDE
+
+
+def search(index: Index, words: Words, least: float, question: float, answer: float) -> Iterator[tuple[int, int, float, float, float]]:
+    """Items found in the texts: text, item, best score, and the covered shares of its question and its answer."""
+    texts, starts = likely_passages(index, words, least)
+    for k in np.unique(texts).tolist():
+        own = words.hashes[words.begins[k] : words.begins[k + 1]]
+        best: dict[int, float] = {}
+        for start in starts[texts == k].tolist():
+            for segment, score in retrieve(index, own[start : start + PASSAGE], least).items():
+                item = int(index.segment_item[segment])
+                best[item] = max(score, best.get(item, 0.0))
+        known = shingles(Words(own, np.array([0, len(own)]), own, own, own))[0] if best else own
+        for item, score in best.items():
+            covered = _covered(index.item_words[item], known)
+            cut = index.answers[item]
+            asked, answered = float(covered[:cut].mean()) if cut else 1.0, float(covered[cut:].mean()) if cut < len(covered) else 1.0
+            if asked >= question and answered >= answer:
+                yield k, item, score, asked, answered
 
 
 def find_contamination(
@@ -182,7 +214,7 @@ def find_contamination(
             for batch in batches:
                 for at, texts in chunks(batch.column("text")):
                     words = hash_words(texts)
-                    hits = [(at + k, *hit) for k in range(len(texts)) for hit in search(shared.value, words, k, score_share, question, answer)]
+                    hits = [(at + k, *hit) for k, *hit in search(shared.value, words, score_share, question, answer)]
                     if hits:
                         rows, found, *numbers = zip(*hits)
                         yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(rows)), pa.array(found, pa.int32()), *[pa.array(x, pa.float64()) for x in numbers]], names=["row", "item", "score", "question_overlap", "answer_overlap"])
@@ -200,3 +232,11 @@ def find_contamination(
     for number in range(1, passes):
         found = found.union(one_pass(number))
     return found
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs in which no item is found, with all their columns."""
+    marked = docs.select(F.struct("*").alias("whole"), order_id(F.col("doc_id")).alias("doc"), text_key(whole_text(F.col("text"))).alias("version"))
+    named = marked.select("doc", "version", F.col("whole.text").alias("text"))
+    found = find_contamination(named, items, keep=("doc", "version")).select("doc", "version").distinct()
+    return marked.join(found, ["doc", "version"], "left_anti").select("whole.*")

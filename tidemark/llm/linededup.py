@@ -97,3 +97,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n")).alias("kept_text"),
     )
+
+
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+    """docs with repeated lines taken out of text, and n_chars, where there is such a column, counted anew for these rows."""
+    told = dedup_lines(docs)
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return told.select(*[F.when(changed, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

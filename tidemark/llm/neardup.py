@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LAST_ID, cut, order_id, text_key
@@ -16,8 +16,6 @@ from tidemark.llm.words import Words, chunks, hash_words, mix, shingles
 
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
-#: Buckets that members of different classes must share to be compared: of similarity 0.8, 0.3 % share fewer.
-MEETINGS = 2
 #: Document frequencies are counted in so many buckets of shingle hashes.
 DF_BITS = 18
 #: Shingles of less than this share of the documents have the full weight; so many documents are added to the count.
@@ -104,8 +102,19 @@ def _name(words: Words, k: int, text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """Weights of shingles by hash bucket, from the frequencies over all documents.
+def rarest(hashes: np.ndarray, weights: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The rarest elements of a set, so many that the rest weighs less than threshold of the whole.
+
+    Two sets of that similarity share one of them: the first element they share, in order of rarity, is among those of both,
+    as what follows in either set is too light for all that they must share.
+    """
+    order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]))
+    rest = weights.sum() - np.cumsum(weights[order])
+    return hashes[order[: int(np.searchsorted(-rest, -threshold * weights.sum() * (1 - 1e-9), "right")) + 1]]
+
+
+def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of shingles by hash bucket, from the frequencies over all documents, and these frequencies.
 
     The table has 2**DF_BITS entries at any input size. A bucket's weight is the log of documents per document with one of
     its shingles, as a share of the log at RARE and at most 1: in a small corpus and for shingles of few documents it is 1,
@@ -129,7 +138,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     total = int(n[bucket < 0].sum()) + PRIOR
     found = np.ones(1 << DF_BITS)
     found[bucket[bucket >= 0]] = np.maximum(n[bucket >= 0], 1)
-    return np.clip(np.log(total / found) / np.log(1 / RARE), 0.05, 1.0)
+    return np.clip(np.log(total / found) / np.log(1 / RARE), 0.05, 1.0), found
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -142,14 +151,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     a word are copies only of equal texts; null texts are alone. A null doc_id comes after all others.
 
     Texts with the same words are collapsed before anything is compared. Each bucket's members are compared with three of
-    them; where that leaves a bucket in several classes, the members outside the largest are compared with every member
-    of another class that they meet MEETINGS times. Members of one class are not paired.
+    them. Where that leaves a bucket in several classes, its members meet again by their rarest shingles, of which texts of
+    the threshold's similarity share at least one, and those of different classes are compared. So no link is lost there,
+    while texts that share only what many have, and members of one class, are not paired.
     """
     spark = docs.sparkSession
     named = docs.select(order_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
     named = named.withColumn("version", F.coalesce(text_key(F.col("text")), F.lit(0)))
     texts = named.where(F.col("text").isNotNull())
-    idf = spark.sparkContext.broadcast(inverse_frequencies(texts))
+    weights, frequencies = inverse_frequencies(texts)
+    idf, counts = spark.sparkContext.broadcast(weights), spark.sparkContext.broadcast(frequencies)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,6 +211,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     linked.append(pair)
             yield pa.RecordBatch.from_pydict({"u": pa.array([a for a, _ in linked], pa.int64()), "v": pa.array([b for _, b in linked], pa.int64())})
 
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, part in chunks(batch.column("text")):
+                hashes, begins = shingles(hash_words(part))
+                keys = [rarest(*_weighted(hashes[begins[k] : begins[k + 1]], idf.value), counts.value, threshold) for k in range(len(part))]
+                place = pa.array(at + np.repeat(np.arange(len(part)), [len(x) for x in keys]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64), pa.int64()), batch.column("node").take(place), batch.column("root").take(place)], names=["head", "node", "root"]
+                )
+
     def verified(candidates: DataFrame) -> DataFrame:
         """The links among candidate pairs (u, v); texts that come again within a task are hashed once."""
         left = candidates.join(node_texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
@@ -210,11 +231,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = cut(components(links))
     placed = cut(shared.select("band", "key", "node").join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root")))
     main = placed.groupBy("band", "key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root", deterministic=True).alias("main")).where("least < most")
-    mixed = placed.join(main.select("band", "key", "main"), ["band", "key"])
-    outside = mixed.where("root <> main").select("band", "key", F.col("node").alias("u"), F.col("root").alias("u_root"))
-    second = outside.join(mixed.select("band", "key", F.col("node").alias("v"), "root"), ["band", "key"]).where(F.col("u_root") != F.col("root"))
-    met = second.groupBy(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).agg(F.bit_count(F.bit_or(F.expr("shiftleft(1L, band)"))).alias("n"))
-    more = cut(verified(met.where(F.col("n") >= MEETINGS).select("u", "v")))
+    unsure = placed.join(main.select("band", "key"), ["band", "key"], "left_semi").select("node", "root").distinct()
+    heads = cut(unsure.join(node_texts, "node").select("node", "root", "text").mapInArrow(head, "head long, node long, root long"))
+    met = heads.groupBy("head").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root", deterministic=True).alias("main"))
+    mixed = heads.join(met.where("least < most").select("head", "main"), "head")
+    outside = mixed.where("root <> main").select("head", F.col("node").alias("u"), F.col("root").alias("u_root"))
+    second = outside.join(mixed.select("head", F.col("node").alias("v"), "root"), "head").where(F.col("u_root") != F.col("root"))
+    more = cut(verified(second.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
     if not more.isEmpty():
         roots = cut(components(links.union(more)))
 
@@ -226,3 +249,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     alone = named.where(F.col("text").isNull()).select("doc", "version", F.lit(None).cast("long").alias("node"), F.col("doc").alias("class_doc"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("keeps"))
     shown = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     return told.union(alone).select(shown("doc").alias("doc_id"), "doc", "version", "node", shown("class_doc").alias("class_id"), "class_size", "keeps")
+
+
+def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of docs for each class of near duplicates, with all its columns: that of the smallest doc_id."""
+    kept = near_duplicates(docs.select("doc_id", "text"), threshold).where("keeps").select("doc", "version").distinct()
+    version = F.coalesce(text_key(F.col("text").cast("string")), F.lit(0))
+    marked = docs.select(F.struct("*").alias("whole"), order_id(F.col("doc_id")).alias("doc"), version.alias("version"))
+    one = F.row_number().over(Window.partitionBy("doc", "version").orderBy(F.lit(0)))
+    return marked.join(kept, ["doc", "version"], "left_semi").withColumn("number", one).where("number = 1").select("whole.*")

@@ -18,11 +18,14 @@ from tidemark.llm.words import WORDS, Words, chunks, hash_words, mix, shingles
 REACH = 6
 MIN_WORDS = 50
 THRESHOLD = 0.8
-#: One row a band: paragraphs of similarity 0.8 meet with a probability of 0.96, equal ones always.
-BANDS = 2
+#: A paragraph goes on for SIDE words behind the next begin, or starts as many before its own: a band for each, so that of
+#: a passage of MIN_WORDS one of the two lies within it. Two rows a band: equal paragraphs always meet, those of similarity
+#: 0.8 two times in three, and a passage has several; paragraphs that share a short line seldom do.
+SIDE = 16
+BANDS, ROWS = 2, 2
 #: Matching windows at most so many words apart belong to one passage.
 GAP = 10
-_SEEDS = np.random.default_rng(5).integers(0, 1 << 64, size=BANDS, dtype=np.uint64)
+_SEEDS = np.random.default_rng(5).integers(0, 1 << 64, size=(BANDS, ROWS), dtype=np.uint64)
 
 
 def paragraph_begins(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -49,18 +52,23 @@ def paragraph_bands(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, first word within it and band keys (a column for each band) of all paragraphs."""
     begins, text = paragraph_begins(words)
     hashes, text_begins = shingles(words)
-    counts = np.diff(words.begins)
-    short = counts < WORDS
-    local = begins - words.begins[text]
-    # Windows that begin within the paragraph; behind a text's last window there is none, and its tail has no paragraph.
-    room = np.where(short, np.minimum(counts, 1), counts - WORDS + 1)[text]
-    good = local < room
-    text, local = text[good], local[good]
     if not len(text):
-        return text, local, np.zeros((0, BANDS), dtype=np.int64)
-    at = text_begins[text] + local
-    keys = [mix(np.minimum.reduceat(mix(hashes ^ seed), at) + np.uint64(k)).view(np.int64) for k, seed in enumerate(_SEEDS)]
-    return text, local, np.stack(keys, axis=1)
+        return text, begins, np.zeros((0, BANDS), dtype=np.int64)
+    local = begins - words.begins[text]
+    ends = np.append(begins[1:], 0) - words.begins[text]
+    final = np.append(text[1:] != text[:-1], True)
+    n_windows = np.diff(text_begins)[text]
+    ends[final] = n_windows[final]
+    keys = np.zeros((len(text), BANDS), dtype=np.uint64)
+    for band, (low, high) in enumerate(((local, ends + SIDE), (local - SIDE, ends))):
+        low = np.clip(low, 0, n_windows - 1)
+        high = np.clip(high, low + 1, n_windows)
+        bounds = np.stack((text_begins[text] + low, text_begins[text] + high), axis=1).ravel()
+        for seed in _SEEDS[band]:
+            # One more value, as the last paragraph may end with the last window.
+            least = np.minimum.reduceat(np.append(mix(hashes ^ seed), np.uint64(0)), bounds)[::2]
+            keys[:, band] = mix(keys[:, band] + least + np.uint64(band))
+    return text, local, keys.view(np.int64)
 
 
 def shared_spans(a: np.ndarray, b: np.ndarray, diagonal: int, least: int = MIN_WORDS, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
@@ -100,7 +108,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     """One row per passage that several documents share: doc_id, version, removed, first_word, end_word, first_byte, end_byte, cluster_id, n_docs.
 
     Words are compared without punctuation and the case of A-Z, from min_words on. A passage is removed from every document
-    but the smallest doc_id that holds it, and overlapping ones are joined within a document; clusters are the components
+    but the smallest doc_id that holds it, and overlapping ones are joined within a document; one that stays has no row if a
+    removed one covers it. Clusters are the components
     of the links between passages and their namesake is the smallest doc_id of one. Bytes are those of the UTF-8 text.
     Null, empty and short texts have no passages, nor do repeated rows among themselves: rows of one doc_id are one
     document here, and so are rows without one. Documents that share nothing have no row.
@@ -127,7 +136,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     pairs = seeds.groupBy("doc", "hub").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
     pairs = cut(pairs)
     needed = pairs.select("doc").union(pairs.select("hub")).distinct()
-    texts = cut(named.join(needed, "doc").withColumn("version", text_key(F.col("text"))).distinct())
+    texts = named.join(needed, "doc").withColumn("version", text_key(F.col("text")))
+    texts = cut(texts.groupBy("doc", "version").agg(F.first("text").alias("text")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
@@ -175,6 +185,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     passages = spans.groupBy("doc", "version", "removed", "passage").agg(
         F.min("first").alias("first_word"), F.max("end").alias("end_word"), F.min("first_byte").alias("first_byte"), F.max("end_byte").alias("end_byte")
     )
+    inside = Window.partitionBy("doc", "version").orderBy("first_word", F.col("removed").desc(), F.col("end_word").desc())
+    reach = F.max(F.when(F.col("removed"), F.col("end_word"))).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    passages = passages.withColumn("reach", reach).where(F.col("removed") | F.col("reach").isNull() | (F.col("reach") < F.col("end_word"))).drop("reach")
     clustered = cut(passages.join(roots, F.col("passage") == F.col("node")))
     clusters = clustered.groupBy("root").agg(F.min("doc").alias("least"), F.count_distinct("doc").alias("n_docs"))
     told = clustered.join(clusters, "root")

@@ -121,3 +121,10 @@ def judge_quality(docs: DataFrame, rules: Iterable[Rule] = RULES, keep: Iterable
     """Metrics, base_failed, failed_rules and kept for every row of docs."""
     judged = quality_metrics(docs, keep).withColumns({"base_failed": base_failed(), "failed_rules": compile_rules(rules)})
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def keep_good(docs: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
+    """The rows of docs that pass, with all their columns; null texts and texts of fewer than ten words don't."""
+    judged = judge_quality(docs.select(F.struct("*").alias("whole"), F.col("text").alias("text")), rules, keep=("whole",))
+    # inline() keeps the filter above the projection, which would else be computed once more for the filter.
+    return judged.select(F.inline(F.array(F.struct("whole", "kept")))).where("kept").select("whole.*")
