@@ -80,6 +80,29 @@ def test_weighted_samples_agree_like_the_sets():
         assert abs(same - N.weighted_jaccard(x, y)) < 0.17
 
 
+def test_links_between_blocks():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 40).astype(np.uint64)
+    sets = []
+    for _ in range(60):
+        own = np.where(rng.random(40) < 0.09, rng.integers(0, 1 << 63, 40).astype(np.uint64), base)
+        unique = np.unique(own)
+        sets.append((unique, np.where(unique % np.uint64(5) == 0, 0.4, 1.0)))
+    for block in (np.zeros(60, int), np.arange(60) % 2):
+        pairs = {(a, b) for a in range(60) for b in range(a) if (block.max() == 0 or block[a] != block[b]) and N.weighted_jaccard(sets[a], sets[b]) >= 0.8}
+        got = N.links_between(sets, block, list(range(60)), 0.8)
+        assert {(max(p), min(p)) for p in got} <= pairs and len(got) < 60
+
+        def groups(edges):
+            label = list(range(60))
+            for _ in range(60):
+                for a, b in edges:
+                    label[a] = label[b] = min(label[a], label[b])
+            return label
+
+        assert groups(got) == groups(pairs)
+
+
 def classes(df):
     found = {}
     for r in df.collect():

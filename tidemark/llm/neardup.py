@@ -20,6 +20,8 @@ BANDS, ROWS = 16, 4
 DF_BITS = 18
 #: Shingles of less than this share of the documents have the full weight; so many documents are added to the count.
 RARE, PRIOR = 0.1, 1000
+#: Texts of a block, about: so many of two blocks are in a task's memory when they are compared with each other.
+BLOCK_NODES = 256
 #: Shingles that a task keeps of the texts it has compared.
 KNOWN = 1 << 21
 TABLE_BITS = 12
@@ -95,6 +97,44 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(shared / whole) if whole else 0.0
 
 
+def links_between(sets: list[tuple[np.ndarray, np.ndarray]], block: np.ndarray, roots: list, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of sets of threshold similarity that join different classes: enough of them to connect all that such pairs connect.
+
+    block has one or two values; within one all pairs are looked at, else those between the two. What sets share is summed
+    from lists of who has an element, so sets without a common element cost nothing.
+    """
+    element, weight = np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets])
+    owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    _, element = np.unique(element, return_inverse=True)
+    order = np.argsort(element, kind="stable")
+    listed, begins = owner[order], np.concatenate(([0], np.cumsum(np.bincount(element))))
+    listed_weight = weight[order]
+    whole = np.array([s[1].sum() for s in sets])
+    offsets = np.concatenate(([0], np.cumsum([len(s[0]) for s in sets])))
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    found = []
+    first = block == block.min()
+    for a in np.flatnonzero(first).tolist():
+        mine = element[offsets[a] : offsets[a + 1]]
+        sizes = begins[mine + 1] - begins[mine]
+        where = np.repeat(begins[mine], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        shared = np.bincount(listed[where], weights=np.minimum(listed_weight[where], np.repeat(weight[offsets[a] : offsets[a + 1]], sizes)), minlength=len(sets))
+        near = shared >= threshold * (whole + whole[a] - shared) - 1e-9
+        near &= ~first if not first.all() else np.arange(len(sets)) < a
+        for b in np.flatnonzero(near).tolist():
+            x, y = find(roots[a]), find(roots[b])
+            if x != y:
+                parent[x] = y
+                found.append((a, b))
+    return found
+
+
 def _name(words: Words, k: int, text: bytes) -> int:
     """64 bits that name a text: its words in order, or all its bytes if it has no word."""
     begin, end = words.begins[k], words.begins[k + 1]
@@ -151,9 +191,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     a word are copies only of equal texts; null texts are alone. A null doc_id comes after all others.
 
     Texts with the same words are collapsed before anything is compared. Each bucket's members are compared with three of
-    them. Where that leaves a bucket in several classes, its members meet again by their rarest shingles, of which texts of
-    the threshold's similarity share at least one, and those of different classes are compared. So no link is lost there,
-    while texts that share only what many have, and members of one class, are not paired.
+    them. Where that leaves a bucket in several classes, its members form families by their rarest shingles, of which texts
+    of the threshold's similarity share at least one. A family's members outside its main class are compared with all of
+    it in blocks of bounded size, inside a task; only links that connect classes come out. So no link is lost there, and
+    members of one class are not compared.
     """
     spark = docs.sparkSession
     named = docs.select(order_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
@@ -221,6 +262,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     [pa.array(np.concatenate(keys).view(np.int64), pa.int64()), batch.column("node").take(place), batch.column("root").take(place)], names=["head", "node", "root"]
                 )
 
+    def compare_blocks(table: pa.Table) -> pa.Table:
+        """Links between members of two blocks in different classes; those that connect what is connected already are left out."""
+        sets = []
+        for column in table.column("text").chunks:
+            for _, part in chunks(column):
+                hashes, begins = shingles(hash_words(part))
+                sets += [_weighted(hashes[begins[k] : begins[k + 1]], idf.value) for k in range(len(part))]
+        linked = links_between(sets, table.column("block").to_numpy(), table.column("root").to_pylist(), threshold)
+        nodes = table.column("node").to_pylist()
+        return pa.table({"u": pa.array([nodes[a] for a, _ in linked], pa.int64()), "v": pa.array([nodes[b] for _, b in linked], pa.int64())})
+
     def verified(candidates: DataFrame) -> DataFrame:
         """The links among candidate pairs (u, v); texts that come again within a task are hashed once."""
         left = candidates.join(node_texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
@@ -233,11 +285,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     main = placed.groupBy("band", "key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root", deterministic=True).alias("main")).where("least < most")
     unsure = placed.join(main.select("band", "key"), ["band", "key"], "left_semi").select("node", "root").distinct()
     heads = cut(unsure.join(node_texts, "node").select("node", "root", "text").mapInArrow(head, "head long, node long, root long"))
-    met = heads.groupBy("head").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root", deterministic=True).alias("main"))
-    mixed = heads.join(met.where("least < most").select("head", "main"), "head")
-    outside = mixed.where("root <> main").select("head", F.col("node").alias("u"), F.col("root").alias("u_root"))
-    second = outside.join(mixed.select("head", F.col("node").alias("v"), "root"), "head").where(F.col("u_root") != F.col("root"))
-    more = cut(verified(second.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+    least = heads.groupBy("head").agg(F.min("node").alias("v"))
+    families = components(heads.select("head", F.col("node").alias("u")).join(least, "head").select("u", "v").where("u <> v").distinct())
+    placed_texts = families.withColumnRenamed("root", "family").join(unsure, "node").join(node_texts, "node")
+    main = families.withColumnRenamed("root", "family").join(unsure, "node").groupBy("family").agg(F.mode("root", deterministic=True).alias("main"), F.count_distinct("root").alias("n"), F.count("*").alias("size"))
+    blocked = placed_texts.join(main.where("n > 1"), "family").select(
+        "family", "node", "root", "text", (F.col("root") == F.col("main")).alias("inner"), F.ceil(F.col("size") / BLOCK_NODES).cast("int").alias("blocks"),
+    )
+    # The main class and the rest have blocks of their own; two blocks of the main class are not compared.
+    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int") + F.when(F.col("inner"), F.col("blocks")).otherwise(0))
+    others = F.sequence(F.lit(0), F.when(F.col("inner"), F.col("blocks") - 1).otherwise(2 * F.col("blocks") - 1))
+    dealt = blocked.select("family", "node", "root", "text", "block", F.explode(others).alias("other"))
+    dealt = dealt.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "text")
+    more = cut(dealt.groupBy("family", "low", "high").applyInArrow(compare_blocks, "u long, v long"))
     if not more.isEmpty():
         roots = cut(components(links.union(more)))
 
