@@ -8,8 +8,9 @@ from conftest import SMALL, rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import escape_tsv
 from tidemark.operators import aggs, changes
-from tidemark.runtime import fresh_dir
+from tidemark.runtime import fresh_dir, shared_dir
 from tidemark.sinks import batches, files
 from tidemark.sources import codecs, readers
 
@@ -179,23 +180,79 @@ def test_uncommitted_rows_are_not_seen(spark):
     assert batches.read_committed(spark, path, commits, "job").count() == 7
 
 
-def test_retry_wraps_then_sets_aside(spark):
-    dead, tries = fresh_dir(spark, "dead"), []
-    df = readers.from_rows(spark, [(7, "x")], "id long, v string")
+def test_retry_sends_only_failed_rows_again(spark, tmp_path):
+    """Row 1 passes, row 2 at the second try, row 3 only when wrapped, row 4 never."""
+    folder, dead = str(tmp_path), fresh_dir(spark, "dead")
+    retry = batches.RetryableWriteError
 
-    def write(batch, batch_id):
-        tries.append(batch.columns)
-        raise batches.RetryableWriteError
-
-    batches.retry_sink(write, "id", dead, attempts=2, delay_seconds=0)(df, 0)
-    assert tries == [["id", "v"], ["id", "v"], ["id", "document"]]
-    assert rows(spark.read.parquet(dead).select("id", "document")) == [("7", '{"data":{"id":7,"v":"x"}}')]
+    def send(folder, rows):
+        import os
+        import uuid
 
-    def broken(batch, batch_id):
+        for row in rows:
+            if isinstance(row, dict):
+                if row["id"] == "4":
+                    raise retry("never")
+            elif row["id"] in (3, 4):
+                raise retry("only wrapped")
+            elif row["id"] == 2 and not os.path.exists(f"{folder}/tried"):
+                open(f"{folder}/tried", "w").close()
+                raise retry("once")
+        for row in rows:
+            with open(f"{folder}/sent-{row['id']}-{uuid.uuid4().hex}", "w") as f:
+                f.write("wrapped" if isinstance(row, dict) else "plain")
+
+    df = readers.from_rows(spark, [(1, "x"), (2, "y"), (3, "z"), (4, "w")], "id long, v string").coalesce(1)
+    batches.retry_sink(lambda: folder, send, "id", dead, threshold=2, attempts=2, delay_seconds=0)(df, 0)
+    sent = sorted((p.name.split("-")[1], p.read_text()) for p in tmp_path.glob("sent-*"))
+    assert sent == [("1", "plain"), ("2", "plain"), ("3", "wrapped")]
+    assert rows(spark.read.parquet(dead).select("id", "document")) == [("4", '{"data": {"id": 4, "v": "w"}}')]
+
+    def broken(client, rows):
         raise ValueError("no")
 
-    with pytest.raises(ValueError):
-        batches.retry_sink(broken, "id", dead, delay_seconds=0)(df, 0)
+    with pytest.raises(Exception, match="no"):
+        batches.retry_sink(lambda: None, broken, "id", fresh_dir(spark, "dead"), delay_seconds=0)(df, 0)
+
+
+def test_upserts_need_an_order_for_repeated_keys(spark):
+    df = readers.from_rows(spark, [(1, 1), (1, 2), (2, 3)], "k int, o int")
+    with pytest.raises(Exception, match="several rows of one key"):
+        batches.upsert_sink(fresh_dir(spark, "u"), ["k"])(df, 0)
+    path = fresh_dir(spark, "u")
+    batches.upsert_sink(path, ["k"], ["o"])(df, 0)
+    assert rows(batches.read_upserted(spark, path, ["k"])) == [(1, 2), (2, 3)]
+
+
+def test_tsv_keeps_all_characters(spark):
+    texts = ["a\tb", "line\nbreak\r", "back\\slash \\t \\\\n", "\u00e9 \u6f22 \U0001f600", "\\", "plain", '"quoted" text']
+    path = fresh_dir(spark, "tsv")
+    source = readers.from_rows(spark, list(enumerate(texts)), "n bigint, comment string")
+    source.withColumn("comment", escape_tsv(F.col("comment"))).write.csv(
+        path, sep="\t", header=True, quote="\u0000", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    back = readers.read_tsv_with_names(spark, path, {"n": "bigint", "comment": "string"}, escaped=True)
+    assert rows(back) == sorted(enumerate(texts), key=repr)
+
+
+def test_small_rows_are_part_of_the_plan(spark):
+    df = readers.small_rows(spark, [("a", 1), (None, 2)], "name string, n int")
+    assert rows(df) == rows(readers.from_rows(spark, [("a", 1), (None, 2)], "name string, n int"))
+    assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+    assert readers.small_rows(spark, [], "n int").count() == 0
+
+
+def test_no_local_folder_on_a_cluster():
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
 
 
 def test_clients_inside_tasks(spark, tmp_path):

@@ -151,7 +151,7 @@ def test_several_typed_states(spark, stream, table):
     fields = {"num": F.lit(120), "street": F.lit("s"), "city": F.lit("c"), "state": F.lit("x"), "zip": F.lit("110110")}
     app = F.when(F.col("event_type") == "error", "1").otherwise("2")
     records = stream.withColumns({**fields, "appno": app})
-    out = ps.keyed(records, ["user_id"], ps.RecordCheck(ORDER, "2"), ps.widened(records, wrong_before="boolean", seen="long"))
+    out = ps.keyed(records, ["user_id"], ps.RecordCheck(ORDER, {"num": "int", "street": "string", "city": "string", "state": "string", "zip": "string", "appno": "string"}, "appno", "2"), ps.widened(records, wrong_before="boolean", seen="long"))
     got = rows(runs.append_to_table(out).select("event_id", "wrong_before", "seen"))
     last, count, want = {}, {}, []
     for r in table.orderBy(*ORDER).collect():

@@ -31,9 +31,28 @@ def dotted_ipv4(address: Column) -> Column:
     return F.concat_ws(".", *octets)
 
 
-def text_bar(value: Column, low: float, high: float, width: int = 80) -> Column:
+def escape_tsv(text: Column) -> Column:
+    """Text for one field of tab-separated values: tabs, line breaks and backslashes as backslash escapes."""
+    for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def unescape_tsv(text: Column) -> Column:
+    """What ``escape_tsv`` was given; doubled backslashes part the text first, so they never meet a letter."""
+
+    def plain(part: Column) -> Column:
+        for letter, character in (("t", "\t"), ("n", "\n"), ("r", "\r")):
+            part = F.replace(part, F.lit(f"\\{letter}"), F.lit(character))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), plain), "\\")
+
+
+def text_bar(value: Column, low: float, high: float | Column, width: int = 80) -> Column:
     """A horizontal bar of full blocks, ``width`` long at ``high``."""
-    share = (value - F.lit(low)) / F.lit(float(high - low))
+    high = high if isinstance(high, Column) else F.lit(float(high))
+    share = (value - F.lit(low)) / (high - F.lit(low))
     cells = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * width).cast("int")
     return F.repeat(F.lit("█"), cells)
 

@@ -53,7 +53,7 @@ def pv_uv(df: DataFrame, ts: str, user: str, size: str, slide: str | None = None
     user before it is copied to the windows over it, so the copies are of the reduced rows.
     """
     slide = slide or size
-    if micros(size) % micros(slide):
+    if micros(size) == micros(slide) or micros(size) % micros(slide):
         grouped = df.groupBy(F.window(ts, size, slide), user).agg(F.count(F.lit(1)).alias("n"))
         windows = grouped.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), user, "n")
     else:
@@ -66,9 +66,9 @@ def pv_uv(df: DataFrame, ts: str, user: str, size: str, slide: str | None = None
             .withColumn("window_start", F.col("pane.start") - step * F.col("back"))
             .select("window_start", (F.col("window_start") + step * F.lit(steps)).alias("window_end"), user, "n")
         )
-    return windows.groupBy("window_start", "window_end").agg(
-        F.sum("n").alias("pv"), F.countDistinct(user).alias("uv")
-    )
+        return windows.groupBy("window_start", "window_end").agg(F.sum("n").alias("pv"), F.countDistinct(user).alias("uv"))
+    # A user has one row in a window here, so no second exchange by user is needed.
+    return windows.groupBy("window_start", "window_end").agg(F.sum("n").alias("pv"), F.count(user).alias("uv"))
 
 
 def cumulative_uv(df: DataFrame, ts: str, user: str) -> DataFrame:

@@ -24,6 +24,8 @@ ROWS_PER_SLICE = 1 << 20
 MAX_BOUNDARIES = 1 << 16
 # Boundaries are looked up in two steps, so that a row never carries more than one block.
 BLOCK = 256
+#: Spark pushes a limit per group below the shuffle up to this many rows (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 
 _SLICE, _SPLITS, _ONE = "__slice", "__splits", "__one"
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import interval
-from tidemark.operators.history import number_rows, prefix_scan, running
+from tidemark.operators.history import GROUP_LIMIT, number_rows, prefix_scan, running
 
 TILE_ROWS = 1 << 20
 
@@ -55,6 +55,13 @@ def agg_over_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], prec
 
 
 def window_rank(df: DataFrame, windows: Sequence[str], metric: str, ties: Sequence[str], n: int, name: str = "rank") -> DataFrame:
-    """The ``n`` rows with the highest metric per window; Spark limits before the shuffle too."""
+    """The ``n`` rows with the highest metric per window.
+
+    Up to ``GROUP_LIMIT`` rows Spark limits a window before the shuffle too; for more, numeric metrics are ranked in slices.
+    """
+    if n > GROUP_LIMIT:
+        turned = df.withColumn("__descending", -F.col(metric))
+        ranked = prefix_scan(turned, windows, ["__descending", *ties], {name: running(F.lit(1).cast("long"))})
+        return ranked.where(F.col(name) <= n).withColumn(name, F.col(name).cast("int")).drop("__descending")
     ranked = Window.partitionBy(*windows).orderBy(F.col(metric).desc(), *ties)
     return df.withColumn(name, F.row_number().over(ranked)).where(F.col(name) <= n)

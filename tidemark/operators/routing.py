@@ -126,8 +126,6 @@ def limit_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFram
     return df.orderBy(*order).limit(n)
 
 
-def cluster_by_day(df: DataFrame, ts: str, per_day: int = 1) -> DataFrame:
-    """Rows of a day side by side and sorted, a day spread over ``per_day`` tasks."""
-    day = F.date_format(ts, "yyyyMMdd")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(per_day))
-    return df.withColumn("day", day).repartition("day", spread).sortWithinPartitions("day", ts)
+def cluster_by_day(df: DataFrame, ts: str) -> DataFrame:
+    """Rows of a day side by side and sorted by time; a long day is split by time, short days share a task."""
+    return df.withColumn("day", F.date_format(ts, "yyyyMMdd")).repartitionByRange("day", ts).sortWithinPartitions("day", ts)

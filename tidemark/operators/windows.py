@@ -13,7 +13,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidemark.functions.times import interval, last_millisecond, micros, time_bucket
 from tidemark.operators.history import (
-    _ONE, _SLICE, _SPLITS, _same, Fold, highest, number_rows, prefix_scan, scan_slices, slice_history, unslice, with_group_stats,
+    GROUP_LIMIT,
+    _ONE, _SLICE, _SPLITS, _same, Fold, highest, number_rows, prefix_scan, running, scan_slices, slice_history, unslice, with_group_stats,
 )
 from tidemark.runtime import cut_lineage
 
@@ -148,7 +149,14 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 
 
 def evict_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """The last ``n`` rows of each group; Spark applies the limit before the shuffle too."""
+    """The last ``n`` rows of each group.
+
+    Up to ``GROUP_LIMIT`` rows Spark limits a group before the shuffle too; for more the rows are numbered from the back in
+    slices, so that a long group is not sorted in one task.
+    """
+    if n > GROUP_LIMIT:
+        numbered = prefix_scan(df, keys, order, {"__rank": running(F.lit(1).cast("long"))}, backward=True)
+        return numbered.where(F.col("__rank") <= n).drop("__rank")
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= n).drop("__rank")
 

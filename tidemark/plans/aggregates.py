@@ -156,11 +156,12 @@ def first_row_with_sum(t):
 
 @report(
     "rounded_sums",
-    """SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price_total
+    """SELECT l_returnflag, CAST(round(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(6,2)) * CAST(l_tax AS DECIMAL(6,2))), 2) AS DOUBLE) AS price_total
        FROM lineitem GROUP BY 1 ORDER BY 2 DESC""",
 )
 def rounded_sums(t):
-    out = aggs.sum_rounded_desc(t("lineitem"), "l_returnflag", cents("l_extendedprice"), "price_total")
+    product = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(6,2)") * F.col("l_tax").cast("decimal(6,2)")
+    out = aggs.sum_rounded_desc(t("lineitem"), "l_returnflag", product, "price_total")
     return out.withColumn("price_total", F.col("price_total").cast("double"))
 
 
@@ -266,11 +267,12 @@ def overall_totals(t):
 @report(
     "daily_bars",
     """WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS cnt FROM events GROUP BY 1)
-       SELECT day, cnt, repeat('█', CAST(floor(least(cnt / 1000.0, 1.0) * 40) AS INTEGER)) AS bar FROM d""",
+       SELECT day, cnt, repeat('█', CAST(floor(cnt * 40.0 / (SELECT max(cnt) FROM d)) AS INTEGER)) AS bar FROM d""",
 )
 def daily_bars(t):
     days = t("events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
-    return days.withColumn("bar", text_bar(F.col("cnt"), 0, 1000, 40))
+    highest = days.agg(F.max("cnt").alias("highest")).scalar()
+    return days.withColumn("bar", text_bar(F.col("cnt"), 0, highest, 40))
 
 
 @report(

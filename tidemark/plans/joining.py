@@ -7,7 +7,7 @@ from tidemark.functions.times import last_millisecond
 from tidemark.operators import aggs, joins, routing
 from tidemark.operators.over import count_over_range
 from tidemark.plans.registry import report
-from tidemark.sources.readers import from_rows
+from tidemark.sources.readers import small_rows
 
 # Names of the top-level categories, by parent category id.
 CATEGORY_NAMES = {
@@ -112,7 +112,7 @@ RULES_SQL = "(VALUES " + ", ".join(str(r) for r in RULES) + ") AS r(rule, first,
 
 
 def rules(t):
-    return from_rows(t.spark, RULES, "rule string, first string, second string")
+    return small_rows(t.spark, RULES, "rule string, first string, second string")
 
 
 @report(

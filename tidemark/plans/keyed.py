@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import changes, patterns
 from tidemark.plans.joining import RULES_SQL, rules
 from tidemark.plans.registry import report
-from tidemark.sources.readers import from_rows
+from tidemark.sources.readers import small_rows
 
 ORDER = ["ts", "event_id"]
 
@@ -47,7 +47,7 @@ CONSECUTIVE_SQL = f"""SELECT user_id, event_id, first, second
 
 
 def pairs(t):
-    return from_rows(t.spark, PAIRS, "first string, second string")
+    return small_rows(t.spark, PAIRS, "first string, second string")
 
 
 @report("consecutive_actions", CONSECUTIVE_SQL)

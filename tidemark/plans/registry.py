@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.runtime import use_utc
 from tidemark.sources.readers import load, load_stream
 
+#: Files of a micro-batch, which bounds what one task holds of a key.
+FILES_PER_TRIGGER = 1
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -21,8 +24,8 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)
 
-    def stream(self, name: str) -> DataFrame:
-        return load_stream(self.spark, self.folder, name)
+    def stream(self, name: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
+        return load_stream(self.spark, self.folder, name, files_per_trigger=files_per_trigger)
 
 
 REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

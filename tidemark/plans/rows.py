@@ -178,7 +178,7 @@ def customers_by_balance(t):
     "SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS cnt, min(ts) AS first_ts FROM events GROUP BY 1",
 )
 def rows_clustered_by_day(t):
-    clustered = routing.cluster_by_day(t("events").select("event_id", "ts"), "ts", per_day=4)
+    clustered = routing.cluster_by_day(t("events").select("event_id", "ts"), "ts")
     return clustered.groupBy("day").agg(F.count(F.lit(1)).alias("cnt"), F.min("ts").alias("first_ts"))
 
 
@@ -267,15 +267,12 @@ def reloaded_csv(t):
 
 @report(
     "reloaded_tsv",
-    r"""SELECT conv_id, turn, lower(role) AS role, substring(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g'), 1, 10) AS beginning,
-               array_to_string(regexp_extract_all(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g'), '\w+')[1:3], ' ') AS words, conv_id + turn AS total
-        FROM conversations""",
+    "SELECT conv_id, turn, lower(role) AS role, substring(text, 1, 10) AS beginning, text AS comment, conv_id + turn AS total FROM conversations",
 )
 def reloaded_tsv(t):
     path = fresh_dir(t.spark, "tsv")
-    plain = F.regexp_replace("text", "[^a-zA-Z]+", " ")
     numbers = F.format_string("[%d,%d]", "conv_id", "turn")
-    source = t("conversations").select("conv_id", "turn", "role", plain.alias("comment"), numbers.alias("children"))
+    source = t("conversations").select("conv_id", "turn", "role", text.escape_tsv(F.col("text")).alias("comment"), numbers.alias("children"))
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     source.write.csv(path, sep="\t", header=True, quote="\u0000", **keep)
     columns = {"conv_id": "bigint", "turn": "bigint", "role": "string", "comment": "string", "children": "array<bigint>"}
@@ -284,19 +281,21 @@ def reloaded_tsv(t):
         "turn": F.col("turn"),
         "role": F.lower("role"),
         "beginning": F.substring("comment", 1, 10),
-        "words": F.array_join(text.first_items(text.word_list(F.col("comment")), 3), " "),
+        "comment": F.col("comment"),
         "total": F.get("children", F.lit(0)) + F.get("children", F.lit(1)),
     }
-    return readers.read_tsv_with_names(t.spark, path, columns, select)
+    return readers.read_tsv_with_names(t.spark, path, columns, select, escaped=True)
 
 
 @report(
     "text_line_lengths",
-    "SELECT CAST(length(line) AS INTEGER) AS length, count(*) AS cnt FROM (SELECT url AS line FROM pages) GROUP BY 1",
+    """SELECT CAST(length(line) AS INTEGER) AS length, count(*) AS cnt
+       FROM (SELECT unnest(string_split(replace(html, chr(13), ' '), chr(10))) AS line FROM pages) GROUP BY 1""",
 )
 def text_line_lengths(t):
     path = fresh_dir(t.spark, "text")
-    files.write_text(t("pages").select("url"), path)
+    lines = F.split(F.translate("html", "\r", " "), "\n")
+    files.write_text(t("pages").select(F.explode(lines).alias("line")), path)
     return aggs.count_rows(readers.read_text_lines(t.spark, path).select(F.length("value").alias("length")), ["length"])
 
 

@@ -164,9 +164,7 @@ def streamed_purchases_after_clicks(t):
 
 @report("streamed_distinct_actions", SQL["distinct_actions"])
 def streamed_distinct_actions(t):
-    rows = keyed_events(t, *ORDER, "event_type")
-    first = ps.keyed(rows, ["user_id", "event_type"], ps.FirstSeen(ORDER), rows.schema)
-    return runs.append_to_table(first.select("user_id", "event_type"))
+    return runs.append_to_table(t.stream("events").select("user_id", "event_type").dropDuplicates())
 
 
 @report(

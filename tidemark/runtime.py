@@ -21,7 +21,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, a laptop) a local one is made.
+    Only when the session names none and the master is local (tests, a laptop) a local one is made.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -30,6 +30,9 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(current)
         current = spark.sparkContext.getCheckpointDir()

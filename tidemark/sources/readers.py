@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.text import unescape_tsv
+
 
 def read_text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     return spark.readStream.text(path) if streaming else spark.read.text(path)
@@ -18,6 +20,13 @@ def from_rows(spark: SparkSession, rows: Sequence, schema: str | StructType) ->
     return spark.createDataFrame(list(rows), schema)
 
 
+def small_rows(spark: SparkSession, rows: Sequence[Sequence[str | int | float | bool | None]], schema: str) -> DataFrame:
+    """A short list of plain values as part of the plan, so that Spark knows its size and broadcasts it by its threshold."""
+    names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
+    literal = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(literal)) if rows else spark.createDataFrame([], schema)
+
+
 def named_rows(spark: SparkSession, rows: Sequence, schema: str | StructType, view: str) -> DataFrame:
     """Rows with declared names and types, also registered as a view."""
     return register_view(view, from_rows(spark, rows, schema))
@@ -36,15 +45,17 @@ def read_csv_typed(spark: SparkSession, path: str, schema: str | StructType, ids
     return df
 
 
-def read_tsv_with_names(spark: SparkSession, path: str, columns: Mapping[str, str], select: Mapping[str, Column] | None = None) -> DataFrame:
+def read_tsv_with_names(spark: SparkSession, path: str, columns: Mapping[str, str], select: Mapping[str, Column] | None = None, escaped: bool = False) -> DataFrame:
     """Tab-separated text with a header line; ``select`` transforms on load.
 
-    Array columns are written as ``[1,2]``.
+    Array columns are written as ``[1,2]``; text was written through ``functions.text.escape_tsv`` if ``escaped``.
     """
     arrays = {c for c, t in columns.items() if t.lower().startswith("array")}
     raw = ", ".join(f"`{c}` {'string' if c in arrays else t}" for c, t in columns.items())
     df = spark.read.csv(path, schema=raw, sep="\t", header=True, quote="\u0000")
     df = df.withColumns({c: F.from_json(c, columns[c]) for c in arrays}) if arrays else df
+    texts = [c for c, t in columns.items() if escaped and t.lower() == "string"]
+    df = df.withColumns({c: unescape_tsv(F.col(c)) for c in texts}) if texts else df
     return df.select(*[c.alias(n) for n, c in select.items()]) if select else df
 
 
@@ -97,7 +108,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load_stream(spark: SparkSession, sf_dir: str, table: str, schema: StructType | None = None) -> DataFrame:
-    """The same table as a stream of files."""
-    schema = schema or load(spark, sf_dir, table).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+def load_stream(spark: SparkSession, sf_dir: str, table: str, schema: StructType | None = None, files_per_trigger: int | None = None) -> DataFrame:
+    """The same table as a stream of its files, be it one file or a folder of them.
+
+    ``files_per_trigger`` bounds a micro-batch; files are taken in the order of their modification times. A table that is
+    not there is an error at once, not an empty stream.
+    """
+    found = load(spark, sf_dir, table).schema
+    reader = spark.readStream.schema(schema or found)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    # A pattern that only the table itself matches; a plain path would have to be a folder.
+    return reader.parquet(f"{sf_dir}/{table}.parque[t]")

@@ -9,6 +9,7 @@ what a processor holds, is set by the source (``maxFilesPerTrigger``,
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -68,28 +69,69 @@ class Ordered(StatefulProcessor):
         return handle.getListState(name, schema, self.ttl_ms)
 
 
+class Numbers:
+    """Values of one number type, as SQL adds them: nulls are left out, and a sum of nulls only is null.
+
+    ``kind`` is ``long``, ``double`` or a decimal type; it is the type of the state and of the output as well. A long
+    column with fractions is an error, as it would be cut off.
+    """
+
+    def __init__(self, kind: str):
+        self.kind = kind.lower()
+
+    def read(self, column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """The values, nulls as zero, and which of them are there."""
+        there = column.notna().to_numpy()
+        if self.kind == "double":
+            return column.fillna(0).astype("float64").to_numpy(), there
+        if self.kind.startswith("decimal"):
+            return np.array([v if ok else Decimal(0) for v, ok in zip(column, there)], object), there
+        if column.dtype.kind == "f" and (column[there] % 1 != 0).any():
+            raise TypeError(f"{column.name} has fractions; use kind='double' or a decimal type")
+        return column.fillna(0).astype("int64").to_numpy(), there
+
+    def shown(self, values: np.ndarray, there: np.ndarray) -> pd.Series:
+        """Results with null where nothing was added."""
+        kind = {"long": "Int64", "double": "float64"}.get(self.kind, "object")
+        out = pd.Series(values, dtype=kind if kind != "object" else object)
+        return out.where(pd.Series(there), None if kind == "object" else pd.NA if kind == "Int64" else np.nan)
+
+    def plain(self, value):
+        """For the state."""
+        return value if self.kind.startswith("decimal") else float(value) if self.kind == "double" else int(value)
+
+    def sums(self, values: np.ndarray, start=None) -> np.ndarray:
+        """Sums of the first 0, 1, 2, ... values."""
+        zero = Decimal(0) if self.kind.startswith("decimal") else 0
+        head = np.array([zero if start is None else start], values.dtype)
+        return np.concatenate([head, values]).cumsum()
+
+
 class RunningTotal(Ordered):
     """The total so far on every row; a row whose ``reset`` is true clears it first."""
 
-    def __init__(self, order, column: str, name: str = "total", reset: str | None = None, ttl_ms: int | None = None):
+    def __init__(self, order, column: str, name: str = "total", reset: str | None = None, ttl_ms: int | None = None, kind: str = "long"):
         super().__init__(order, ttl_ms)
-        self.column, self.name, self.reset = column, name, reset
+        self.column, self.name, self.reset, self.numbers = column, name, reset, Numbers(kind)
 
     def open(self, handle):
-        self.total = self.value(handle, "total", "total long")
+        self.total = self.value(handle, "total", f"total {self.numbers.kind}")
 
     def step(self, key, rows):
-        values = rows[self.column].fillna(0).astype("int64")
-        before = self.total.get()[0] if self.total.exists() else 0
-        totals = values.cumsum() + before
-        if self.reset:
-            resets = rows[self.reset].fillna(False).astype(bool)
-            run = resets.cumsum()
-            totals = values.groupby(run).cumsum() + np.where(run == 0, before, 0)
-            if resets.any():
-                self.total.clear()
-        self.total.update((int(totals.iloc[-1]),))
-        return rows.assign(**{self.name: totals})
+        values, there = self.numbers.read(rows[self.column])
+        before = self.total.get()[0] if self.total.exists() else None
+        sums = self.numbers.sums(values, before)
+        totals, known = sums[1:], np.maximum.accumulate(there) | (before is not None)
+        if self.reset and (resets := rows[self.reset].fillna(False).astype(bool).to_numpy()).any():
+            place = np.arange(len(values))
+            since = np.maximum.accumulate(np.where(resets, place, -1))
+            seen = np.concatenate([[0], np.cumsum(there)])
+            totals = np.where(since < 0, totals, totals - sums[np.maximum(since, 0)])
+            known = np.where(since < 0, known, seen[place + 1] > seen[np.maximum(since, 0)])
+            self.total.clear()
+        if known[-1]:
+            self.total.update((self.numbers.plain(totals[-1]),))
+        return rows.assign(**{self.name: self.numbers.shown(totals, known)})
 
 
 class RangeCount(Ordered):
@@ -114,42 +156,45 @@ class RangeCount(Ordered):
 class SlidingCountWindow(Ordered):
     """Fires on every ``slide``-th row over the last ``size`` rows: their number and a sum."""
 
-    def __init__(self, order, column: str, size: int, slide: int):
+    def __init__(self, order, column: str, size: int, slide: int, kind: str = "long"):
         super().__init__(order)
-        self.column, self.size, self.slide = column, size, slide
+        self.column, self.size, self.slide, self.numbers = column, size, slide, Numbers(kind)
 
     def open(self, handle):
         self.seen = self.value(handle, "seen", "n long")
-        self.last = self.items(handle, "last", "v long")
+        self.last = self.items(handle, "last", f"v {self.numbers.kind}")
 
     def step(self, key, rows):
         before = self.seen.get()[0] if self.seen.exists() else 0
-        kept = [v[0] for v in self.last.get()] if before else []
-        values = np.array(kept + rows[self.column].astype("int64").tolist(), "int64")
-        sums = np.concatenate([[0], values.cumsum()])
+        kept = pd.Series([v[0] for v in self.last.get()] if before and self.size > 1 else [], dtype=object)
+        old, old_there = self.numbers.read(kept.astype("float64") if self.numbers.kind == "double" else kept)
+        new, new_there = self.numbers.read(rows[self.column])
+        values, there = np.concatenate([old.astype(new.dtype), new]), np.concatenate([old_there, new_there])
+        sums, counts = self.numbers.sums(values), np.concatenate([[0], there.cumsum()])
         numbers = before + 1 + np.arange(len(rows))
         at = np.flatnonzero(numbers % self.slide == 0)
-        ends = at + len(kept) + 1
+        ends = at + len(old) + 1
         starts = np.maximum(ends - self.size, 0)
         self.seen.update((int(numbers[-1]),))
-        self.last.put([(int(v),) for v in values[-(self.size - 1):]] if self.size > 1 else [(0,)])
-        out = rows.iloc[at][[c for c in rows.columns if c not in (*self.order, self.column)]]
-        return out.assign(at_row=numbers[at], n=ends - starts, total=sums[ends] - sums[starts])
+        left = slice(-(self.size - 1), None) if self.size > 1 else slice(0, 0)
+        self.last.put([(self.numbers.plain(v) if ok else None,) for v, ok in zip(values[left], there[left])] or [(None,)])
+        out = rows.iloc[at][[c for c in rows.columns if c not in (*self.order, self.column)]].reset_index(drop=True)
+        return out.assign(at_row=numbers[at], n=ends - starts, total=self.numbers.shown(sums[ends] - sums[starts], counts[ends] > counts[starts]))
 
 
 class CountAverage(Ordered):
-    """The integer average of every ``n`` rows; the state is cleared after each."""
+    """The integer average of every ``n`` rows, nulls counted as zero; the state is cleared after each."""
 
     def __init__(self, order, column: str, n: int, name: str = "average"):
         super().__init__(order)
-        self.column, self.n, self.name = column, n, name
+        self.column, self.n, self.name, self.numbers = column, n, name, Numbers("long")
 
     def open(self, handle):
         self.part = self.value(handle, "part", "cnt long, total long")
 
     def step(self, key, rows):
         count, total = self.part.get() if self.part.exists() else (0, 0)
-        sums = np.concatenate([[0], rows[self.column].astype("int64").to_numpy().cumsum()]) + total
+        sums = self.numbers.sums(self.numbers.read(rows[self.column])[0]) + total
         numbers = count + np.arange(len(rows) + 1)
         ends = np.flatnonzero((numbers % self.n == 0) & (np.arange(len(numbers)) > 0))
         parts = np.diff(np.concatenate([[0], sums[ends]]))
@@ -222,13 +267,15 @@ class SequenceMatch(Ordered):
 
     def step(self, key, rows):
         waiting = [i[0] for i in self.waiting.get()] if self.waiting.exists() else []
-        pairs = []
-        for item, first, second in zip(rows[self.item], rows["is_first"], rows["is_second"]):
-            if second:
-                pairs += [(w, item) for w in waiting]
-                waiting = []
-            if first:
-                waiting.append(int(item))
+        items = rows[self.item].to_numpy()
+        firsts = np.flatnonzero(rows["is_first"].fillna(False).to_numpy(dtype=bool))
+        seconds = np.flatnonzero(rows["is_second"].fillna(False).to_numpy(dtype=bool))
+        # The second element that ends the waiting of each first one: the next later row, for stored ones the first row.
+        next_one = np.searchsorted(seconds, firsts, "right")
+        matched = next_one < len(seconds)
+        pairs = [(w, items[seconds[0]]) for w in waiting] if len(seconds) else []
+        pairs += list(zip(items[firsts[matched]], items[seconds[next_one[matched]]]))
+        waiting = ([] if len(seconds) else waiting) + [int(i) for i in items[firsts[~matched]]]
         if waiting:
             self.waiting.put([(w,) for w in waiting])
         else:
@@ -299,32 +346,28 @@ class FirstSeen(Ordered):
 class RecordCheck(Ordered):
     """Several typed states in one processor.
 
-    Keeps the last record (a struct), a labelled counter (a pair) and a value of either
-    text or flag; tells for each row whether the record before it had the expected
-    application number.
+    Keeps the last record (a struct of ``record``, given as columns and types), a labelled counter (a pair) and a value of
+    either text or flag; tells for each row whether ``field`` of the record before it differed from ``expected``.
     """
 
-    RECORD = "num int, street string, city string, state string, zip string, appno string"
-    FIELDS = ("num", "street", "city", "state", "zip", "appno")
-
-    def __init__(self, order, expected: str):
+    def __init__(self, order, record: dict[str, str], field: str, expected: str):
         super().__init__(order)
-        self.expected = expected
+        self.fields, self.kinds = list(record), list(record.values())
+        self.field, self.expected = field, expected
 
     def open(self, handle):
-        self.record = self.value(handle, "record", self.RECORD)
+        self.record = self.value(handle, "record", ", ".join(f"`{f}` {k}" for f, k in zip(self.fields, self.kinds)))
         self.counter = self.value(handle, "counter", "label string, n int")
         self.either = self.value(handle, "either", "left string, right boolean")
 
     def step(self, key, rows):
-        before = self.record.get()[5] if self.record.exists() else None
-        earlier = [before, *rows["appno"].tolist()[:-1]]
+        before = self.record.get()[self.fields.index(self.field)] if self.record.exists() else None
+        earlier = [before, *rows[self.field].tolist()[:-1]]
         label, n = self.counter.get() if self.counter.exists() else ("rows", 0)
         self.counter.update((label, int(n) + len(rows)))
-        known = [e is not None for e in earlier]
-        wrong = [k and e != self.expected for k, e in zip(known, earlier)]
+        wrong = [e is not None and e != self.expected for e in earlier]
         self.either.update((None, True) if any(wrong) else ("ok", None))
-        self.record.update(tuple(rows[list(self.FIELDS)].astype(object).iloc[-1]))
+        self.record.update(tuple(rows[self.fields].astype(object).iloc[-1]))
         return rows.assign(wrong_before=wrong, seen=int(n) + 1 + np.arange(len(rows)))
 
 

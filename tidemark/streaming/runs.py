@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.watermarks import mark_late
 from tidemark.runtime import fresh_dir, stream_options
-from tidemark.sinks.batches import BatchSink, _write_batch, read_upserted, several, upsert_sink
+from tidemark.sinks.batches import BatchSink, _write_batch, claim, read_upserted, several, upsert_sink
 
 
 def drain(df: DataFrame, sink: BatchSink, mode: str = "append", checkpoint: str | None = None) -> None:
@@ -32,17 +32,16 @@ def upsert_to_table(df: DataFrame, keys: Sequence[str], path: str | None = None)
     spark = df.sparkSession
     path = path or fresh_dir(spark, "upserts")
     drain(df, upsert_sink(path, keys), "update")
-    return read_upserted(spark, path, keys)
+    return read_upserted(spark, path, keys, df.schema)
 
 
 def complete_to_table(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Run a complete-mode stream (sorted, limited) and read the newest full result."""
+    """Run a complete-mode stream (sorted, limited) and read its full result, which each batch replaces."""
     spark = df.sparkSession
     path = path or fresh_dir(spark, "complete")
-    drain(df, lambda batch, batch_id: _write_batch(batch, path, batch_id), "complete")
-    rows = spark.read.option("basePath", path).parquet(path)
-    newest = rows.agg(F.max("batch_id").alias("newest"))
-    return rows.join(newest, rows["batch_id"] == newest["newest"]).drop("batch_id", "newest")
+    spark.createDataFrame([], df.schema).write.parquet(path)
+    drain(df, lambda batch, _: batch.write.mode("overwrite").parquet(path), "complete")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def late_rows_sink(path: str, ts: str, delay: str, size: str, arrival: Sequence[str]) -> BatchSink:
@@ -54,6 +53,7 @@ def late_rows_sink(path: str, ts: str, delay: str, size: str, arrival: Sequence[
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        claim(spark, path)
         first = batch.select(F.max(ts).alias("newest"))
         _write_batch(first, f"{path}/marks", batch_id)
         marks = spark.read.option("basePath", f"{path}/marks").parquet(f"{path}/marks")
@@ -78,8 +78,10 @@ def distinct_per_window(df: DataFrame, ts: str, user: str, size: str, delay: str
     Streams have no exact distinct count. Dropping repeats is the first stage; counting
     the rows that are left, per window, the second (``count_first_rows``).
     """
-    placed = df.withWatermark(ts, delay).withColumn("window_end", F.window(ts, size)["end"])
-    return placed.select(ts, user, "window_end").dropDuplicates([user, "window_end"])
+    placed = df.withWatermark(ts, delay).withColumn("window", F.window(ts, size))
+    # The window itself carries the watermark, so users of closed windows leave the state.
+    first = placed.select(user, "window").dropDuplicates([user, "window"])
+    return first.select(user, F.col("window.end").alias("window_end"))
 
 
 def count_first_rows(first: DataFrame, name: str = "uv") -> DataFrame:
