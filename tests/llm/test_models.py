@@ -191,6 +191,11 @@ def test_spans_allow_edits():
     assert shared_spans(a, b, 20) == [(40, 120)]
     b[60] = np.uint64(1)
     assert shared_spans(a, b, 20) == [(40, 120)] and shared_spans(a, b, 21) == []
+    # A long text with many changes still has its equal runs of 50 words.
+    long = rng.integers(0, 1 << 63, 600).astype(np.uint64)
+    changed = long.copy()
+    changed[[*range(60, 300, 8), *range(355, 600, 8)]] += np.uint64(1)
+    assert shared_spans(long, changed, 0) == [(0, 60), (293, 355)]
 
 
 def items(spark, texts):

@@ -75,7 +75,7 @@ def shared_spans(a: np.ndarray, b: np.ndarray, diagonal: int, least: int = MIN_W
     """Runs of words of a that stand in b, diagonal words earlier: (first, end) in a.
 
     A run starts and ends with five equal words, has no more than GAP words between matching windows, at least `least`
-    words, and shingles of a Jaccard similarity of threshold or more with its counterpart.
+    words, and shingles of a Jaccard similarity of threshold or more with its counterpart; so equal runs always count.
     """
     low, high = max(0, diagonal), min(len(a), len(b) + diagonal)
     if high - low < max(least, WORDS):
@@ -84,16 +84,25 @@ def shared_spans(a: np.ndarray, b: np.ndarray, diagonal: int, least: int = MIN_W
     windows = np.flatnonzero(same[WORDS:] - same[:-WORDS] == WORDS)
     if not len(windows):
         return []
-    breaks = np.flatnonzero(np.diff(windows) > GAP + WORDS)
-    found = []
-    for first, last in zip(np.append(windows[:1], windows[breaks + 1]), np.append(windows[breaks], windows[-1:])):
-        begin, end = int(first) + low, int(last) + low + WORDS
-        if end - begin >= least:
+    steps = np.diff(windows)
+    breaks = np.flatnonzero(steps > GAP + WORDS)
+    found, parts = [], list(zip(np.append(0, breaks + 1).tolist(), np.append(breaks, len(windows) - 1).tolist()))
+    while parts:
+        first, last = parts.pop()
+        begin, end = int(windows[first]) + low, int(windows[last]) + low + WORDS
+        if end - begin < least:
+            continue
+        inner = steps[first:last]
+        if len(inner) and inner.max() > 1:
             x, y = (np.unique(shingles(Words(w, np.array([0, len(w)]), w, w, w))[0]) for w in (a[begin:end], b[begin - diagonal : end - diagonal]))
             shared = len(np.intersect1d(x, y, assume_unique=True))
-            if shared >= threshold * (len(x) + len(y) - shared):
-                found.append((begin, end))
-    return found
+            if shared < threshold * (len(x) + len(y) - shared):
+                # Too many changes for the whole: what lies before and behind the widest of them is looked at by itself.
+                cut = first + int(inner.argmax())
+                parts += [(first, cut), (cut + 1, last)]
+                continue
+        found.append((begin, end))
+    return sorted(found)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
