@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions import text, times
-from tidemark.operators import aggs, routing
+from tidemark.operators import aggs, routing, watermarks
 from tidemark.plans.registry import Tables, report
 from tidemark.runtime import fresh_dir
 from tidemark.sinks import files
@@ -304,3 +304,16 @@ def daily_buckets(t):
     path = fresh_dir(t.spark, "buckets")
     files.write_bucketed(t("events").select("event_id", "ts"), path, F.date_format("ts", "yyyy-MM-dd"), fmt="parquet")
     return aggs.count_rows(t.spark.read.parquet(path).select(F.col("bucket").cast("string").alias("bucket")), ["bucket"])
+
+
+@report("tasks_per_user", "SELECT user_id, count(*) AS cnt, CAST(1 AS BIGINT) AS tasks FROM events GROUP BY 1")
+def tasks_per_user(t):
+    """Rows of a key are placed in one task."""
+    placed = routing.key_by(t("events").select("user_id"), "user_id").withColumn("task", F.spark_partition_id())
+    return placed.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("task").alias("tasks"))
+
+
+@report("events_by_millis", "SELECT event_id, date_trunc('milliseconds', ts) AS at FROM events")
+def events_by_millis(t):
+    millis = t("events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    return watermarks.assign_event_time(millis, "ms", "at").select("event_id", F.col("at").cast("timestamp_ntz").alias("at"))

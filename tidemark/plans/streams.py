@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import case_map
 from tidemark.operators import aggs, joins, watermarks
-from tidemark.operators.routing import split_by_rules
+from tidemark.operators.routing import split_by_rules, union_all
 from tidemark.plans.aggregates import K
 from tidemark.plans.joining import CATEGORY_NAMES, OTHER_CATEGORY, rules
 from tidemark.plans.keyed import ALERTS_SQL, CONSECUTIVE_SQL, MATCHES_SQL, TRANSITIONS, pairs
@@ -230,3 +230,49 @@ def streamed_sessions(t):
     grouped = events(t).groupBy("user_id", F.session_window("ts", "3 hours").alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
     shown = runs.complete_to_table(grouped.select("user_id", F.col("w.start").alias("session_start"), "cnt"))
     return runs.zone_less(shown, "session_start")
+
+
+@report("streamed_union", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def streamed_union(t):
+    """Two streams of one table as one."""
+    orders = t.stream("orders").select("o_orderkey", "o_orderstatus")
+    return runs.append_to_table(union_all(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'")))
+
+
+@report(
+    "streamed_ascending_counts",
+    "SELECT date_trunc('hour', ts) AS window_start, count(*) AS cnt FROM events GROUP BY 1",
+)
+def streamed_ascending_counts(t):
+    """Event times that never go back need no delay; late hours revise their row."""
+    rows = watermarks.watermark(events(t), "ts", "0 seconds")
+    counts = rows.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
+    return runs.zone_less(runs.upsert_to_table(counts.select(F.col("w.start").alias("window_start"), "cnt"), ["window_start"]), "window_start")
+
+
+@report(
+    "streamed_sliding_pv_uv",
+    """SELECT window_end, count(*) AS uv FROM (
+         SELECT DISTINCT time_bucket(INTERVAL '2 hours', ts) + INTERVAL '2 hours' * (k + 1) AS window_end, user_id FROM events, range(3) r(k)) GROUP BY 1""",
+)
+def streamed_sliding_pv_uv(t):
+    """Distinct users of six hours, every two hours: the first row of a user in each window is kept, then counted."""
+    placed = watermarks.watermark(events(t), "ts", "1 hour").select("user_id", F.window("ts", "6 hours", "2 hours").alias("window"))
+    first = placed.dropDuplicates(["user_id", "window"]).select("user_id", F.col("window.end").alias("window_end"))
+    return runs.zone_less(runs.count_first_rows(runs.append_to_table(first)), "window_end")
+
+
+@report(
+    "streamed_lookup_per_batch",
+    "SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'",
+)
+def streamed_lookup_per_batch(t):
+    """The dimension is read again for each batch."""
+    path = fresh_dir(t.spark, "lookups")
+    sink = runs.lookup_per_batch(
+        lambda: t("customer").where("c_mktsegment = 'BUILDING'"),
+        lambda batch, dimension: joins.lookup_join(batch, dimension, "o_custkey", "c_custkey", "inner").select("o_orderkey", "c_mktsegment"),
+        batches.upsert_sink(path, ["o_orderkey"]),
+    )
+    runs.drain(t.stream("orders"), sink)
+    return batches.read_upserted(t.spark, path, ["o_orderkey"])
