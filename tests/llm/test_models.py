@@ -139,6 +139,24 @@ def test_chain_and_large_group(spark):
     assert got == {frozenset(range(150)), frozenset(range(150, 158)), frozenset({158})}
 
 
+def test_near_duplicates_with_shared_and_missing_ids(spark):
+    base, other = prose(1, 300), prose(2, 300)
+    near = [*base[:100], "changed", *base[101:]]
+    # Id 1 and the missing id have foreign texts besides; they link nothing, and every link between the right texts is found.
+    texts = [text(other), text(base), text(near), text(prose(3, 300)), text(other[:100] + ["changed"] + other[101:]), text(prose(4, 300)), text(near), text(near)]
+    ids = [1, 1, 2, None, None, 5, None, None]
+    named = {t: k for k, t in enumerate(texts[:6])}
+    for order in (range(8), range(7, -1, -1)):
+        docs = frame(spark, [texts[k] for k in order], [ids[k] for k in order]).repartition(3)
+        got = N.near_duplicates(docs)
+        versions = {r.version: named[r.text] for r in docs.select(N.text_key(F.col("text")).alias("version"), "text").collect()}
+        found = {}
+        for r in got.select("class_id", "class_size", "version").collect():
+            found.setdefault((r.class_id, r.class_size, versions[r.version] in (1, 2)), set()).add(versions[r.version])
+        assert found == {(1, 4, True): {1, 2}, (1, 2, False): {0, 4}, (None, 1, False): {3}, (5, 1, False): {5}}
+        assert sorted(named[r.text] for r in N.drop_near_duplicates(docs).collect()) in ([0, 1, 3, 5], [0, 2, 3, 5])
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(250)] + [(k, k + 1) for k in range(500, 560)] + [(9, 9)]

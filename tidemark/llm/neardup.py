@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 )
 
     sketches = cut(texts.select("doc", "version", "text").mapInArrow(sketch, "doc long, version long, node long, bands array<long>"))
-    distinct = cut(sketches.groupBy("node").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")))
+    distinct = cut(sketches.groupBy("node").agg(F.min(F.struct("doc", "version")).alias("named"), F.first("bands").alias("bands")))
     members = distinct.select("node", F.posexplode("bands").alias("band", "key"))
     hubs = [F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node"))]
     buckets = members.groupBy("band", "key").agg(F.array(*hubs).alias("hubs"), F.count("*").alias("n")).where("n > 1")
@@ -229,8 +229,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     to_hubs = shared.select(F.col("node").alias("a"), F.explode("hubs").alias("b")).where("a <> b")
     pairs = to_hubs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
-    needed = shared.select("node").distinct().join(distinct.select("node", "doc"), "node")
-    node_texts = cut(named.join(needed, "doc").select("node", "text").where(F.col("text").isNotNull()))
+    # A node's text is that of one of its rows. A doc_id alone would not tell it, as rows may share one or have none.
+    needed = shared.select("node").distinct().join(distinct.select("node", "named.*"), "node")
+    node_texts = cut(texts.join(needed, ["doc", "version"]).groupBy("node").agg(F.first("text").alias("text")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -244,9 +245,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     known, size = {}, 0
                 for node, column in zip(pair, (text_u, text_v)):
                     if node not in known:
-                        text = column[k].as_py().encode()
-                        words = hash_words([text])
-                        known[node] = _weighted(shingles(words)[0], idf.value) if _name(words, 0, text) == node else (np.zeros(0, np.uint64), np.zeros(0))
+                        known[node] = _weighted(shingles(hash_words([column[k].as_py().encode()]))[0], idf.value)
                         size += len(known[node][0])
                 if weighted_jaccard(known[pair[0]], known[pair[1]]) >= threshold:
                     linked.append(pair)
