@@ -157,6 +157,28 @@ def test_near_duplicates_with_shared_and_missing_ids(spark):
         assert sorted(named[r.text] for r in N.drop_near_duplicates(docs).collect()) in ([0, 1, 3, 5], [0, 2, 3, 5])
 
 
+def test_a_third_of_a_table_is_linked_as_plain_similarity_tells(spark):
+    """A third of the rows are 0.80 to 0.90 similar to the first one; half of the shingles that differ are theirs alone."""
+    rng, base, other = random.Random(8), prose(7, 200, size=4000), prose(8, 200, size=4000)
+    texts = [" ".join(base)]
+    for k in range(1199):
+        own, n = list(base), rng.choice((3, 4))
+        for at in rng.sample(range(2, 33), n):
+            own[6 * at] = f"q{rng.randint(0, 10**9)}"
+        texts.append(" ".join(own))
+    texts += [" ".join([*prose(5000 + k, 30, size=4000), *other[:20]]) for k in range(2400)]
+    plain = [set(zip(*[t.split()[i:] for i in range(5)])) for t in texts[:1200]]
+    near = [k for k in range(1, 1200) if 0.8 <= len(plain[0] & plain[k]) / len(plain[0] | plain[k]) <= 0.9]
+    assert len(near) == 1199
+    docs = frame(spark, texts)
+    weights, _ = N.inverse_frequencies(docs)
+    idf = lambda t: N._weighted(shingles(hash_words([t.encode()]))[0], weights)
+    first = idf(texts[0])
+    assert all(N.weighted_jaccard(first, idf(texts[k])) >= 0.8 for k in near)
+    found = {r.doc_id: r.class_id for r in N.near_duplicates(docs).collect()}
+    assert {found[k] for k in near} == {0} and all(found[k] == k for k in range(1200, 3600))
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(250)] + [(k, k + 1) for k in range(500, 560)] + [(9, 9)]

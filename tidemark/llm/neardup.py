@@ -18,8 +18,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 #: Document frequencies are counted in so many buckets of shingle hashes.
 DF_BITS = 18
-#: Shingles of less than this share of the documents have the full weight; so many documents are added to the count.
-RARE, PRIOR = 0.1, 1000
+#: Shingles of less than this share of the documents have the full weight, at every size of the table: near copies that are
+#: a third of it are compared as if they were few. So do those of fewer than FEW documents, as a small table tells nothing.
+RARE, FEW = 0.5, 1000
 #: Texts of a block, about: so many of two blocks are in a task's memory when they are compared with each other.
 BLOCK_NODES = 256
 #: Shingles that a task keeps of the texts it has compared.
@@ -157,8 +158,8 @@ def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Weights of shingles by hash bucket, from the frequencies over all documents, and these frequencies.
 
     The table has 2**DF_BITS entries at any input size. A bucket's weight is the log of documents per document with one of
-    its shingles, as a share of the log at RARE and at most 1: in a small corpus and for shingles of few documents it is 1,
-    for what a third of all documents have about a half.
+    its shingles, as a share of the log at RARE and at most 1: for shingles of less than RARE of all documents, or of
+    fewer than FEW, it is 1.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +176,10 @@ def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     table = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
-    total = int(n[bucket < 0].sum()) + PRIOR
+    total = max(int(n[bucket < 0].sum()), 1)
     found = np.ones(1 << DF_BITS)
     found[bucket[bucket >= 0]] = np.maximum(n[bucket >= 0], 1)
-    return np.clip(np.log(total / found) / np.log(1 / RARE), 0.05, 1.0), found
+    return np.where(found < FEW, 1.0, np.clip(np.log(total / found) / np.log(1 / RARE), 0.05, 1.0)), found
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
