@@ -16,7 +16,7 @@ from tidemark.llm import neardup as N
 from tidemark.llm import queries as Q
 from tidemark.llm.components import components
 from tidemark.llm.langid import fit_language_model, predict_languages
-from tidemark.llm.passages import repeated_passages, shared_spans, without_passages
+from tidemark.llm.passages import repeated_passages, shared_passages, shared_spans, without_passages
 from tidemark.llm.pieces import Alignment, encode_pieces, read_model
 from tidemark.llm.words import hash_words, shingles
 
@@ -238,6 +238,26 @@ def test_spans_allow_edits():
     assert shared_spans(long, changed, 0) == [(0, 60), (293, 355)]
 
 
+def test_passages_go_on_behind_words_put_in_or_left_out():
+    rng = np.random.default_rng(4)
+    words = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    for n, at in [(60, k) for k in range(11, 50)] + [(90, 45)]:
+        passage = words(n)
+        a = np.concatenate((words(30), passage, words(40)))
+        longer, shorter = np.insert(passage, at, 1), np.delete(passage, at)
+        for other in (longer, shorter):
+            b = np.concatenate((words(17), other, words(25)))
+            want = [(30, 30 + n, 17, 17 + len(other))]
+            # Either side's diagonal finds the whole, as do both.
+            later = 13 - (len(other) - n)
+            assert shared_passages(a, b, [13]) == shared_passages(a, b, [later]) == shared_passages(a, b, [13, later]) == want
+    # Words put in at several places; too many changes leave what is similar.
+    passage = words(120)
+    changed = np.insert(passage, [40, 80], [1, 2])
+    assert shared_passages(passage, changed, [0]) == shared_passages(passage, changed, [-2]) == [(0, 120, 0, 122)]
+    assert shared_passages(passage, np.insert(passage, range(6, 120, 6), 1), [0]) == []
+
+
 def items(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
 

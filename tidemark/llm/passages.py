@@ -71,40 +71,97 @@ def paragraph_bands(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, local, keys.view(np.int64)
 
 
-def shared_spans(a: np.ndarray, b: np.ndarray, diagonal: int, least: int = MIN_WORDS, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
-    """Runs of words of a that stand in b, diagonal words earlier: (first, end) in a.
-
-    A run starts and ends with five equal words, has no more than GAP words between matching windows, at least `least`
-    words, and shingles of a Jaccard similarity of threshold or more with its counterpart; so equal runs always count.
-    """
+def _runs(a: np.ndarray, b: np.ndarray, diagonal: int) -> list[tuple[int, int]]:
+    """First and last of the windows of a, run by run, that stand in b diagonal words earlier."""
     low, high = max(0, diagonal), min(len(a), len(b) + diagonal)
-    if high - low < max(least, WORDS):
+    if high <= low:
         return []
-    same = np.concatenate(([0], np.cumsum(a[low:high] == b[low - diagonal : high - diagonal])))
-    windows = np.flatnonzero(same[WORDS:] - same[:-WORDS] == WORDS)
-    if not len(windows):
+    at = np.flatnonzero(a[low:high] == b[low - diagonal : high - diagonal]) + low
+    breaks = np.flatnonzero(np.diff(at) > 1)
+    return list(zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist())) if len(at) else []
+
+
+def _next(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int] | None:
+    """The run of windows that follows window i of a and j of b with the smallest gap and shift, at most GAP words: its first window in a and b."""
+    reach = GAP + WORDS
+    x, y = np.nonzero(a[i + 1 : i + 1 + reach, None] == b[None, j + 1 : j + 1 + reach])
+    shift = np.abs(x - y)
+    near = shift <= GAP
+    if not near.any():
+        return None
+    x, y, shift = x[near], y[near], shift[near]
+    k = int((np.maximum(x, y) + shift).argmin())
+    return i + 1 + int(x[k]), j + 1 + int(y[k])
+
+
+def _chain(a: np.ndarray, b: np.ndarray, i: int, j: int) -> list[tuple[int, int, int]]:
+    """Runs (first window in a, first in b, length) that follow window i of a and j of b one after the other."""
+    found = []
+    while (at := _next(a, b, i, j)) is not None:
+        n = min(len(a) - at[0], len(b) - at[1])
+        step, length = 64, 0
+        while length < n:
+            same = a[at[0] + length : at[0] + min(length + step, n)] == b[at[1] + length : at[1] + min(length + step, n)]
+            if not same.all():
+                length += int(same.argmin())
+                break
+            length += len(same)
+            step *= 2
+        found.append((*at, length))
+        i, j = at[0] + length - 1, at[1] + length - 1
+    return found
+
+
+def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], least: int = MIN_WORDS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, int]]:
+    """Passages of a that b has too: (first, end) in a and in b. Each has a run on one of the diagonals, so many words earlier in b.
+
+    A passage starts and ends with five equal words, has no more than GAP words between matching windows, at least `least`
+    words in a and in b, and shingles of a Jaccard similarity of threshold or more with its counterpart; so equal runs
+    always count. Where words were put in or left out it goes on at another diagonal, at most GAP words away, whether that
+    one is among diagonals or not.
+    """
+    if min(len(a), len(b)) < max(least, WORDS):
         return []
-    steps = np.diff(windows)
-    breaks = np.flatnonzero(steps > GAP + WORDS)
-    found, parts = [], list(zip(np.append(0, breaks + 1).tolist(), np.append(breaks, len(windows) - 1).tolist()))
-    while parts:
-        first, last = parts.pop()
-        begin, end = int(windows[first]) + low, int(windows[last]) + low + WORDS
-        if end - begin < least:
-            continue
-        inner = steps[first:last]
-        if len(inner) and inner.max() > 1:
-            x, y = (np.unique(shingles(Words(w, np.array([0, len(w)]), w, w, w))[0]) for w in (a[begin:end], b[begin - diagonal : end - diagonal]))
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if shared < threshold * (len(x) + len(y) - shared):
-                # Too many changes for the whole: what lies before and behind the widest of them is looked at by itself.
-                cut = first + int(inner.argmax())
-                parts += [(first, cut), (cut + 1, last)]
+    wa, wb = (shingles(Words(w, np.array([0, len(w)]), w, w, w))[0] for w in (a, b))
+    back_a, back_b = wa[::-1], wb[::-1]
+    found, firsts, lasts = set(), set(), set()
+    for diagonal in dict.fromkeys(diagonals):
+        for first, last in _runs(wa, wb, diagonal):
+            if (first, diagonal) in firsts or (last, diagonal) in lasts:
+                continue
+            before = _chain(back_a, back_b, len(wa) - 1 - first, len(wb) - 1 - (first - diagonal))
+            runs = [(len(wa) - i - n, len(wb) - j - n, n) for i, j, n in reversed(before)]
+            runs += [(first, first - diagonal, last - first + 1), *_chain(wa, wb, last, last - diagonal)]
+            firsts.update((i, i - j) for i, j, _ in runs)
+            lasts.update((i + n - 1, i - j) for i, j, n in runs)
+            if runs[-1][0] + runs[-1][2] + WORDS - 1 - runs[0][0] < least:
                 continue
-        found.append((begin, end))
+            own, other = (np.concatenate([np.arange(r[side], r[side] + r[2]) for r in runs]) for side in (0, 1))
+            steps = np.maximum(np.diff(own), np.diff(other))
+            parts = [(0, len(own) - 1)]
+            while parts:
+                low, high = parts.pop()
+                begin, end, other_begin, other_end = int(own[low]), int(own[high]) + WORDS, int(other[low]), int(other[high]) + WORDS
+                if min(end - begin, other_end - other_begin) < least:
+                    continue
+                inner = steps[low:high]
+                if len(inner) and inner.max() > 1:
+                    x, y = np.unique(wa[begin : end - WORDS + 1]), np.unique(wb[other_begin : other_end - WORDS + 1])
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if shared < threshold * (len(x) + len(y) - shared):
+                        # Too many changes for the whole: what lies before and behind the widest of them is looked at by itself.
+                        cut = low + int(inner.argmax())
+                        parts += [(low, cut), (cut + 1, high)]
+                        continue
+                found.add((begin, end, other_begin, other_end))
     return sorted(found)
 
 
+def shared_spans(a: np.ndarray, b: np.ndarray, diagonal: int, least: int = MIN_WORDS, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """The spans in a of the passages that have a run on one diagonal."""
+    return [(first, end) for first, end, _, _ in shared_passages(a, b, [diagonal], least, threshold)]
+
+
 def _merged(spans: DataFrame) -> DataFrame:
     """Spans (doc, version, removed, first, end, first_byte, end_byte) with those that overlap joined, and the passage each one went to."""
     order = Window.partitionBy("doc", "version", "removed").orderBy("first", "end")
@@ -164,12 +221,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
                     other = known[1]
                     begin, shift = int(words.begins[k]), int(words.text_begins[k])
                     own = words.hashes[begin : words.begins[k + 1]]
-                    for diagonal in diagonals[at + k]:
-                        for first, end in shared_spans(own, other.hashes, diagonal, min_words, threshold):
-                            out.append((
-                                *doc_names[at + k], first, end, int(words.first[begin + first]) - shift, int(words.stop[begin + end - 1]) - shift,
-                                *hub, first - diagonal, end - diagonal, int(other.first[first - diagonal]), int(other.stop[end - diagonal - 1]),
-                            ))
+                    for first, end, low, high in shared_passages(own, other.hashes, diagonals[at + k], min_words, threshold):
+                        out.append((
+                            *doc_names[at + k], first, end, int(words.first[begin + first]) - shift, int(words.stop[begin + end - 1]) - shift,
+                            *hub, low, high, int(other.first[low]), int(other.stop[high - 1]),
+                        ))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 12, kinds)], names=names)
 
     names = ["doc", "version", "first", "end", "first_byte", "end_byte", "hub", "hub_version", "hub_first", "hub_end", "hub_first_byte", "hub_end_byte"]
