@@ -275,6 +275,41 @@ def test_contamination(spark):
     assert D.find_contamination(frame(spark, []), items(spark, tests)).count() == 0
 
 
+def test_edits_in_the_last_words_of_every_item(spark):
+    """A word changed, put in or left out in the last ten words of an item; short answers; words between question and answer."""
+    table = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("text").collect() if len(hash_words([r.text.encode()]).hashes) >= 20]
+    table += [" ".join(prose(700 + k, 30)) + ". " + " ".join(prose(800 + k, 1 + k % 9)) + "." for k in range(18)]
+    table += [" ".join(prose(750 + k, 1 + k % 9)) + ". " + " ".join(prose(850 + k, 30)) + "." for k in range(9)]
+    index = D.build_index(list(enumerate(table)))
+    around, lost, short = prose(900, 90), [], 0
+    for k, item in enumerate(table):
+        own, cut = hash_words([item.encode()]).hashes, index.answers[k]
+        beside = hash_words([" ".join(around).encode()]).hashes
+        copies = [(np.insert(own, cut, np.arange(1, 4, dtype=np.uint64)), cut < len(own) and cut > 20)]
+        for at in range(len(own) - 10, len(own)):
+            # All that is needed of an answer of under five words: three words in five, and the question before them.
+            answer = len(own) - cut
+            plain = 1 <= answer < 5 and cut >= 20 and (at < cut or answer >= 3)
+            copies += [(np.concatenate((own[:at], [np.uint64(1)], own[at + 1 :])), plain and at != cut - 5), (np.insert(own, at, np.uint64(1)), plain), (np.delete(own, at), plain and at != cut - 5)]
+        for copy, must in copies:
+            windows = lambda w: set(zip(*[w[i:].tolist() for i in range(5)]))
+            held, covered = windows(copy), np.zeros(len(own), dtype=bool)
+            for i in range(len(own) - 4):
+                covered[i : i + 5] |= tuple(own[i : i + 5].tolist()) in held
+            asked = covered[:cut].mean() if cut else 1.0
+            if covered.mean() >= D.QUESTION or must and asked >= D.QUESTION:
+                short += must
+                whole = np.concatenate((beside[:40], copy, beside[40:]))
+                words = hash_words([b" ".join(b"w" for _ in whole)])._replace(hashes=whole)
+                if k not in {hit[1] for hit in D.search(index, words, D.SCORE_SHARE, D.QUESTION, D.ANSWER)}:
+                    lost.append((k, len(own), cut))
+    assert short > 100 and lost == []
+    # A question with another answer is not the item.
+    item = " ".join(prose(700, 20)) + ". " + " ".join(prose(800, 8)) + "."
+    index = D.build_index([(0, item)])
+    assert not list(D.search(index, hash_words([" ".join([*prose(700, 20), *prose(901, 60, size=4000)]).encode()]), D.SCORE_SHARE, D.QUESTION, D.ANSWER))
+
+
 def test_several_passes(spark, monkeypatch):
     monkeypatch.setattr(D, "INDEX_BYTES", 2000)
     tests = [text(prose(300 + k, 40)) for k in range(45)]

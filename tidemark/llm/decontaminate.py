@@ -22,6 +22,9 @@ PASSAGE = SEGMENT + STRIDE
 SCORE_SHARE = 0.6
 #: Shares of the words of question and answer that five-word windows of the document must cover.
 QUESTION, ANSWER = 0.8, 0.6
+#: Five-word windows tell little of a side of fewer words: its single words also count where they stand at most NEAR words
+#: from a window of the other side.
+SHORT, NEAR = 2 * WORDS, 20
 K1, B = 1.2, 0.75
 BLOCK = 4
 #: Sums of bounds that are held at a time.
@@ -131,6 +134,27 @@ def _covered(item: np.ndarray, known: np.ndarray) -> np.ndarray:
     return covered
 
 
+def _beside(side: np.ndarray, other: np.ndarray, own: np.ndarray, known: np.ndarray) -> float:
+    """Share of the words of a side of an item that the document (words own, windows known) has beside windows of the other side.
+
+    Words in the windows themselves don't count, nor does a word more often than the document has it there.
+    """
+    if len(other) < WORDS:
+        return 0.0
+    windows = np.isin(known, shingles(Words(other, np.array([0, len(other)]), other, other, other))[0])
+    at = np.flatnonzero(windows)
+    if not len(at):
+        return 0.0
+    taken, near = np.zeros(len(own) + 1, dtype=np.int64), np.zeros(len(own) + 1, dtype=np.int64)
+    for marks, reach in ((taken, 0), (near, NEAR)):
+        np.add.at(marks, np.maximum(at - reach, 0), 1)
+        np.add.at(marks, np.minimum(at + WORDS + reach, len(own)), -1)
+    words, counts = np.unique(own[(np.cumsum(near)[:-1] > 0) & (np.cumsum(taken)[:-1] == 0)], return_counts=True)
+    wanted, needed = np.unique(side, return_counts=True)
+    _, i, j = np.intersect1d(words, wanted, assume_unique=True, return_indices=True)
+    return float(np.minimum(counts[i], needed[j]).sum() / len(side))
+
+
 def likely_passages(index: Index, words: Words, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Texts and first words of the passages whose bound for some block of segments reaches least.
 
@@ -178,7 +202,13 @@ def search(index: Index, words: Words, least: float, question: float, answer: fl
             covered = _covered(index.item_words[item], known)
             cut = index.answers[item]
             asked, answered = float(covered[:cut].mean()) if cut else 1.0, float(covered[cut:].mean()) if cut < len(covered) else 1.0
-            if asked >= question and answered >= answer:
+            words_of = index.item_words[item]
+            if 0 < cut < len(words_of):
+                if answered < answer and len(words_of) - cut < SHORT:
+                    answered = max(answered, _beside(words_of[cut:], words_of[:cut], own, known))
+                if asked < question and cut < SHORT:
+                    asked = max(asked, _beside(words_of[:cut], words_of[cut:], own, known))
+            if asked >= question and answered >= answer or covered.mean() >= question:
                 yield k, item, score, asked, answered
 
 
@@ -189,7 +219,9 @@ def find_contamination(
 
     Passages of all documents are queries against an index of the items. An item is retrieved if a passage has score_share
     of the item's own BM25 score; the last sentence of an item is its answer, the rest its question, and both must be
-    covered by five-word windows of the document to the shares given (an item of one sentence is all question). Words are
+    covered by five-word windows of the document to the shares given (an item of one sentence is all question), or the
+    item as a whole to that of the question. Of a question or answer of fewer than ten words the single words count as well
+    that stand near windows of the other. Words are
     compared without punctuation and the case of A-Z. Null and empty texts, items of fewer than five words, and empty
     tables give no rows; repeated rows of either table give repeated rows. docs needs text and the columns keep, items
     needs item_id and text; no other columns are read.
