@@ -47,6 +47,19 @@ def test_stream_of_a_folder_equals_the_table(spark, folder, name):
     assert compare(REPORTS[name](spark, folder), duck(SMALL), SQL[name]) is None
 
 
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """Events in files without any order, as a table that was written without a sort."""
+    top = str(tmp_path_factory.mktemp("shuffled"))
+    load(spark, SMALL, "events").repartition(FILES, F.xxhash64("event_id")).write.parquet(f"{top}/events.parquet")
+    return top
+
+
+@pytest.mark.parametrize("name", ["streamed_ascending_counts", "streamed_hourly_purchases", "streamed_sliding_pv_uv", "streamed_visitors", "streamed_alerts", "streamed_late_rows"])
+def test_files_need_not_follow_the_order_of_events(spark, shuffled, name):
+    assert compare(REPORTS[name](spark, shuffled), duck(SMALL), SQL[name]) is None
+
+
 def test_a_folder_is_read_in_several_batches(spark, folder):
     seen = []
     runs.drain(load_stream(spark, folder, "events", files_per_trigger=1), lambda batch, batch_id: seen.append(batch.count()))

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.runtime import use_utc
-from tidemark.sources.readers import load, load_stream
+from tidemark.sources.readers import load, load_stream, load_stream_in_order, sorted_slices
 
 #: Files of a micro-batch, which bounds what one task holds of a key.
 FILES_PER_TRIGGER = 1
+#: The columns that tell the order of events of a table. Its files need not follow it.
+EVENT_ORDER = {"events": ("ts", "event_id")}
 
 
 @dataclass(frozen=True)
@@ -20,11 +22,19 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    slices: dict[str, str] = field(default_factory=dict, compare=False)
 
     def __call__(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)
 
-    def stream(self, name: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
+    def stream(self, name: str, files_per_trigger: int | None = FILES_PER_TRIGGER, order: tuple[str | Column, ...] | None = None) -> DataFrame:
+        """The table as a stream; one of several files comes in the order of its events, or in the order given."""
+        order = order or EVENT_ORDER.get(name)
+        if order and files_per_trigger and len(self(name).inputFiles()) > files_per_trigger:
+            key = f"{name} {order}"
+            if key not in self.slices:
+                self.slices[key] = sorted_slices(self(name), order)
+            return load_stream_in_order(self(name), self.slices[key], files_per_trigger)
         return load_stream(self.spark, self.folder, name, files_per_trigger=files_per_trigger)
 
 

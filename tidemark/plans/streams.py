@@ -23,9 +23,9 @@ def events(t: Tables):
     return runs.event_time(t.stream("events"))
 
 
-def keyed_events(t: Tables, *columns: str):
+def keyed_events(t: Tables, *columns: str, order=None):
     state_store(t.spark)
-    return t.stream("events").select("user_id", *columns)
+    return t.stream("events", order=order).select("user_id", *columns)
 
 
 @report("streamed_hourly_purchases", SQL["hourly_purchases"])
@@ -105,7 +105,7 @@ def streamed_consecutive_actions(t):
 
 @report("streamed_rule_matches", MATCHES_SQL)
 def streamed_rule_matches(t):
-    tagged = joins.rule_join(keyed_events(t, "event_id", "event_type"), rules(t), "event_type")
+    tagged = joins.rule_join(keyed_events(t, "event_id", "event_type", order=("event_id",)), rules(t), "event_type")
     matcher = ps.SequenceMatch(["event_id"], "event_id").keyed_by("user_id", "rule")
     schema = "user_id long, rule string, first_id long, second_id long"
     return runs.append_to_table(ps.keyed(tagged, ["user_id", "rule"], matcher, schema))
@@ -179,7 +179,7 @@ def streamed_visitors(t):
 @report("streamed_late_rows", SQL["late_rows"])
 def streamed_late_rows(t):
     path = fresh_dir(t.spark, "late")
-    arriving = t.stream("events").withColumn("arrival", F.expr(ARRIVAL))
+    arriving = t.stream("events", order=(F.expr(ARRIVAL), "event_id")).withColumn("arrival", F.expr(ARRIVAL))
     runs.drain(arriving, runs.late_rows_sink(path, "ts", "1 hour", "10 minutes", ["arrival", "event_id"]))
     _, late = runs.read_late_rows(t.spark, path)
     return late.select("event_id", "window_end")

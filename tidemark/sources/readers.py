@@ -7,9 +7,10 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.text import unescape_tsv
+from tidemark.runtime import fresh_dir
 
 
 def read_text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -120,3 +121,23 @@ def load_stream(spark: SparkSession, sf_dir: str, table: str, schema: StructType
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # A pattern that only the table itself matches; a plain path would have to be a folder.
     return reader.parquet(f"{sf_dir}/{table}.parque[t]")
+
+
+def sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> str:
+    """Write df to the shared folder in slices of rows that follow each other in order, as many as it has files.
+
+    Rows are dealt out by sampled bounds. Slices are then copied one after the other, so that their modification times rise
+    in any store; folder names rise too, for stores with coarse times. Each copy reads its own slice only.
+    """
+    spark, n = df.sparkSession, len(df.inputFiles())
+    dealt, path = fresh_dir(spark, "dealt"), fresh_dir(spark, "slices")
+    df.repartitionByRange(n, *order).withColumn("slice_number", F.spark_partition_id()).write.partitionBy("slice_number").parquet(dealt)
+    slices = spark.read.schema(StructType([*df.schema.fields, StructField("slice_number", IntegerType())])).parquet(dealt)
+    for k in range(n):
+        slices.where(F.col("slice_number") == k).drop("slice_number").coalesce(1).write.parquet(f"{path}/{k:06d}")
+    return path
+
+
+def load_stream_in_order(df: DataFrame, path: str, files_per_trigger: int) -> DataFrame:
+    """The slices of df below path as a stream."""
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{path}/*")
