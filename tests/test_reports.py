@@ -5,8 +5,7 @@ from conftest import SMALL
 from oracle import compare, duck
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from tidemark.plans import REPORTS, SQL
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +13,19 @@ def con():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+#: Reports that find nothing in the smallest table.
+EMPTY = set()
+
+
+@pytest.mark.parametrize("name", list(REPORTS))
 def test_report(spark, con, name):
-    df = QUERIES[name](spark, SMALL)
-    assert name in ORACLE
-    problem = compare(df, con, ORACLE[name])
-    assert problem is None or problem == "no rows", problem
+    problem = compare(REPORTS[name](spark, SMALL), con, SQL[name])
+    assert problem == ("no rows" if name in EMPTY else None)
+
+
+def test_reports_are_registered():
+    found, sql = entry.queries(), entry.oracle_sql()
+    assert all(found[name] is REPORTS[name] and sql[name] == SQL[name] for name in REPORTS)
 
 
 def test_entry(spark):
