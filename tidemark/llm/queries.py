@@ -18,8 +18,12 @@ from tidemark.llm.pieces import encode_pieces, read_model
 from tidemark.llm.quality import judge_quality
 from tidemark.llm.sharding import LIMIT_BYTES, shard_by_bytes
 from tidemark.llm.sql import LINE_DEDUP, QUALITY, URLS
+from tidemark.llm.tokencounts import count_tokens
 from tidemark.llm.urls import judge_urls, rules_table
 
+#: Texts of more tokens than this are over the limit.
+TOKEN_LIMIT = 1024
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,6 +34,13 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def token_path() -> str:
+    """The tokenizer file of the contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     marked = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
@@ -86,6 +97,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = count_tokens(table(spark, folder, "documents"), read_model(token_path()).decode())
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
@@ -97,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_token_counts": op11_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
