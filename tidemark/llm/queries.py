@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import find_contamination
+from tidemark.llm.divergence import audit_sources
 from tidemark.llm.langid import fit_language_model, held_out, predict_languages
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.linededup import dedup_lines
@@ -17,7 +18,7 @@ from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pieces import encode_pieces, read_model
 from tidemark.llm.quality import judge_quality
 from tidemark.llm.sharding import LIMIT_BYTES, shard_by_bytes
-from tidemark.llm.sql import LINE_DEDUP, QUALITY, URLS
+from tidemark.llm.sql import DIVERGENCE, LINE_DEDUP, QUALITY, URLS
 from tidemark.llm.tokencounts import count_tokens
 from tidemark.llm.urls import judge_urls, rules_table
 
@@ -102,6 +103,10 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
@@ -114,9 +119,11 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
     "op11_token_counts": op11_token_counts,
+    "op12_source_divergence": op12_source_divergence,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op7_quality_rules": QUALITY,
     "op8_url_filter": URLS,
+    "op12_source_divergence": DIVERGENCE,
 }

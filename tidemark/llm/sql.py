@@ -96,3 +96,44 @@ GROUP BY s.page_id, s.host, s.path
 """
 
 
+
+DIVERGENCE = rf"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, row_number() OVER () AS doc FROM documents
+), terms AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all({ASCII_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term FROM (SELECT DISTINCT doc, lang, term FROM terms) GROUP BY lang, term HAVING count(*) >= 30
+), cells AS (
+    SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sizes AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), sources AS (
+    SELECT DISTINCT lang, source FROM docs
+), filled AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n
+    FROM sources s JOIN kept k ON s.lang = k.lang LEFT JOIN cells c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), p AS (
+    SELECT f.lang, f.source, f.term, f.n,
+        CAST(1 + (1000000000::HUGEINT * (f.n + 5)) // (sum(f.n) OVER (PARTITION BY f.lang, f.source) + 5 * z.v) AS BIGINT) AS p
+    FROM filled f JOIN sizes z ON f.lang = z.lang
+), totals AS (
+    SELECT lang, term, sum(n)::BIGINT AS n FROM cells GROUP BY lang, term
+), q AS (
+    SELECT t.lang, t.term, CAST(1 + (1000000000::HUGEINT * (t.n + 5)) // (sum(t.n) OVER (PARTITION BY t.lang) + 5 * z.v) AS BIGINT) AS q
+    FROM totals t JOIN sizes z ON t.lang = z.lang
+), distances AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(d.value, 0) AS BIGINT) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), above AS (
+    SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM above)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
