@@ -16,9 +16,10 @@ from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pieces import encode_pieces, read_model
+from tidemark.llm.prefixtrie import prefix_trie
 from tidemark.llm.quality import judge_quality
 from tidemark.llm.sharding import LIMIT_BYTES, shard_by_bytes
-from tidemark.llm.sql import DIVERGENCE, LINE_DEDUP, QUALITY, URLS
+from tidemark.llm.sql import DIVERGENCE, LINE_DEDUP, PREFIX_TRIE, QUALITY, URLS
 from tidemark.llm.tokencounts import count_tokens
 from tidemark.llm.urls import judge_urls, rules_table
 
@@ -107,6 +108,10 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return audit_sources(table(spark, folder, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
@@ -120,10 +125,12 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op11_token_counts": op11_token_counts,
     "op12_source_divergence": op12_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op7_quality_rules": QUALITY,
     "op8_url_filter": URLS,
     "op12_source_divergence": DIVERGENCE,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

