@@ -133,10 +133,11 @@ def share(count, total, n_terms):
 def run_columns(kept: DataFrame, block: int = BLOCK) -> DataFrame:
     """(lang, n_terms, columns): blocks of terms, and for each source that has any of them its counts as runs.
 
-    Terms are put in the order of their counts by source, so that equal counts stand together. Any number of tasks share the
-    terms of a language.
+    Terms are dealt out by their totals and put in the order of their counts by source, so that equal counts stand together. Any
+    number of tasks share the terms of a language. What bounds are sampled from is two numbers, not the counts.
     """
-    ordered = kept.select("lang", "counts").repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts")
+    alike = F.xxhash64(F.to_json("counts"))
+    ordered = kept.select("lang", "total", "counts").repartitionByRange("lang", "total", alike).select("lang", "counts").sortWithinPartitions("lang", "counts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs(lang: str, vectors: list[list[dict]]) -> pa.RecordBatch:
