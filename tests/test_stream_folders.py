@@ -12,7 +12,7 @@ from oracle import compare, duck
 from tidemark.operators.history import number_rows
 from tidemark.operators.over import window_rank
 from tidemark.operators.windows import evict_count
-from tidemark.plans import REPORTS, SQL
+from tidemark.plans import REPORTS, SQL, registry
 from tidemark.runtime import fresh_dir
 from tidemark.sinks import batches
 from tidemark.sources.readers import load, load_stream
@@ -24,6 +24,15 @@ FILES = 4
 BY_ARRIVAL = {"streamed_late_rows"}
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_batches():
+    """Tables as small as these come in several micro-batches."""
+    kept = registry.BATCH_BYTES
+    registry.BATCH_BYTES = 1 << 13
+    yield
+    registry.BATCH_BYTES = kept
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     """Every table as a folder of files in the order of its first column, dated one after the other."""

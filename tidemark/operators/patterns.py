@@ -160,15 +160,32 @@ def rule_sequence_match(items: DataFrame, rules: DataFrame, keys: Sequence[str],
     item is matched by the next ``second`` one after it: a running value from the back,
     with no pairs to build. An item that is both releases others before it is stored.
     """
-    tagged = rule_join(items, rules, field, first, second)
+    return _next_second(rule_join(items, rules, field, first, second), [*keys, rule], order, field, **slicing)
+
+
+def _next_second(tagged: DataFrame, keys: Sequence[str], order: Sequence[str], field: str, **slicing) -> DataFrame:
+    """Rows with ``is_first`` that a later row with ``is_second`` follows, with the next of them as ``matched``."""
     at = F.struct(*order, field)
-    ahead = prefix_scan(
-        tagged, [*keys, rule], order, {"matched": lowest(F.when(F.col("is_second"), at))},
-        inclusive=False, backward=True, **slicing,
-    )
+    ahead = prefix_scan(tagged, keys, order, {"matched": lowest(F.when(F.col("is_second"), at))}, inclusive=False, backward=True, **slicing)
     return ahead.where(F.col("is_first") & F.col("matched").isNotNull()).drop("is_first", "is_second")
 
 
+def changing_rule_match(items: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], field: str, rule: str = "rule", first: str = "first", second: str = "second", **slicing) -> DataFrame:
+    """``rule_sequence_match`` under rules that change: an item is judged by the version of its place in the order.
+
+    ``changes`` has the order's columns too; a change at the place of an item comes before it. A version is in force until the
+    next one of its rule. Items stay stored when their rule changes.
+    """
+    begins = F.struct(*[F.col(c) for c in order])
+    until = F.lead(begins).over(Window.partitionBy(rule).orderBy(*order))
+    versions = changes.select(rule, first, second, begins.alias("__from"), until.alias("__until"))
+    kinds = versions.withColumn("__kind", F.explode(F.array_distinct(F.array(first, second))))
+    at = F.struct(*[items[c] for c in order])
+    in_force = (items[field] == kinds["__kind"]) & (kinds["__from"] <= at) & (kinds["__until"].isNull() | (at < kinds["__until"]))
+    tagged = items.join(kinds, in_force).withColumns({"is_first": F.col(field) == F.col(first), "is_second": F.col(field) == F.col(second)})
+    return _next_second(tagged.drop(first, second, "__from", "__until", "__kind"), [*keys, rule], order, field, **slicing)
+
+
 def running_length(df: DataFrame, keys: Sequence[str], text: str, order: Sequence[str], name: str = "total_length", **slicing) -> DataFrame:
     return running_sum(df, keys, F.length(text).cast("long"), order, name, **slicing)
 

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from tidemark.runtime import use_utc
-from tidemark.sources.readers import load, load_stream, load_stream_in_order, sorted_slices
+from tidemark.runtime import fresh_dir, use_utc
+from tidemark.sources.readers import load, load_stream, load_stream_in_order, sorted_slices, stored_bytes
+from tidemark.streaming.runs import closing_row
 
-#: Files of a micro-batch, which bounds what one task holds of a key.
-FILES_PER_TRIGGER = 1
+#: Stored bytes of a micro-batch, which bound what one task holds of a key, and of a file of a sorted slice.
+BATCH_BYTES, SLICE_FILE_BYTES = 1 << 28, 1 << 25
 #: The columns that tell the order of events of a table. Its files need not follow it.
 EVENT_ORDER = {"events": ("ts", "event_id")}
 
@@ -27,15 +28,33 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)
 
-    def stream(self, name: str, files_per_trigger: int | None = FILES_PER_TRIGGER, order: tuple[str | Column, ...] | None = None) -> DataFrame:
-        """The table as a stream; one of several files comes in the order of its events, or in the order given."""
-        order = order or EVENT_ORDER.get(name)
-        if order and files_per_trigger and len(self(name).inputFiles()) > files_per_trigger:
-            key = f"{name} {order}"
-            if key not in self.slices:
-                self.slices[key] = sorted_slices(self(name), order)
-            return load_stream_in_order(self(name), self.slices[key], files_per_trigger)
-        return load_stream(self.spark, self.folder, name, files_per_trigger=files_per_trigger)
+    def stream(self, name: str, order: tuple[str | Column, ...] | None = None, closing: str | None = None) -> DataFrame:
+        """The table as a stream; one of several micro-batches comes in the order of its events, or in the order given.
+
+        With ``closing``, an event time, a last row follows that ends all windows; see ``runs.closed``.
+        """
+        table, order = self(name), order or EVENT_ORDER.get(name)
+        slices = -(-stored_bytes(table) // BATCH_BYTES)
+        last = closing_row(table, closing) if closing else None
+        if slices <= 1 or not order:
+            rows = load_stream(self.spark, self.folder, name, bytes_per_trigger=BATCH_BYTES if slices > 1 else None)
+            if last is None:
+                return rows
+            if slices > 1:
+                raise ValueError(f"{name} comes in several batches without an order, so no row is the last one")
+            return rows.unionByName(self._written(last, f"{name} {closing}"))
+        files = max(1, BATCH_BYTES // SLICE_FILE_BYTES)
+        key = f"{name} {order} {closing}"
+        if key not in self.slices:
+            self.slices[key] = sorted_slices(table, order, slices, files, last)
+        return load_stream_in_order(table, self.slices[key], files)
+
+    def _written(self, rows: DataFrame, key: str) -> DataFrame:
+        """A few rows as a stream of their own."""
+        if key not in self.slices:
+            self.slices[key] = fresh_dir(self.spark, "closing")
+            rows.write.parquet(self.slices[key])
+        return self.spark.readStream.schema(rows.schema).parquet(self.slices[key])
 
 
 REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -109,32 +109,44 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load_stream(spark: SparkSession, sf_dir: str, table: str, schema: StructType | None = None, files_per_trigger: int | None = None) -> DataFrame:
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files of a table, as Spark's own file index adds them up."""
+    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
+
+
+def load_stream(spark: SparkSession, sf_dir: str, table: str, schema: StructType | None = None, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None) -> DataFrame:
     """The same table as a stream of its files, be it one file or a folder of them.
 
-    ``files_per_trigger`` bounds a micro-batch; files are taken in the order of their modification times. A table that is
-    not there is an error at once, not an empty stream.
+    ``files_per_trigger`` or ``bytes_per_trigger`` bounds a micro-batch; files are taken in the order of their modification
+    times. A table that is not there is an error at once, not an empty stream.
     """
     found = load(spark, sf_dir, table).schema
     reader = spark.readStream.schema(schema or found)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     # A pattern that only the table itself matches; a plain path would have to be a folder.
     return reader.parquet(f"{sf_dir}/{table}.parque[t]")
 
 
-def sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> str:
-    """Write df to the shared folder in slices of rows that follow each other in order, as many as it has files.
+def sorted_slices(df: DataFrame, order: Sequence[str | Column], slices: int, files: int, last: DataFrame | None = None) -> str:
+    """Write df to the shared folder in slices of rows that follow each other in order, each of the same number of files.
 
-    Rows are dealt out by sampled bounds. Slices are then copied one after the other, so that their modification times rise
-    in any store; folder names rise too, for stores with coarse times. Each copy reads its own slice only.
+    Rows are dealt out by sampled bounds in one job. Slices are then copied one after the other, each by a job over all of
+    its files, so that their modification times rise in any store; folder names rise too, for stores with coarse times. So
+    there are as many jobs as micro-batches, however many files df has. ``last`` is put behind all slices.
     """
-    spark, n = df.sparkSession, len(df.inputFiles())
+    spark = df.sparkSession
     dealt, path = fresh_dir(spark, "dealt"), fresh_dir(spark, "slices")
-    df.repartitionByRange(n, *order).withColumn("slice_number", F.spark_partition_id()).write.partitionBy("slice_number").parquet(dealt)
-    slices = spark.read.schema(StructType([*df.schema.fields, StructField("slice_number", IntegerType())])).parquet(dealt)
-    for k in range(n):
-        slices.where(F.col("slice_number") == k).drop("slice_number").coalesce(1).write.parquet(f"{path}/{k:06d}")
+    number = F.floor(F.spark_partition_id() / F.lit(files)).cast("int")
+    df.repartitionByRange(slices * files, *order).withColumn("slice_number", number).write.partitionBy("slice_number").parquet(dealt)
+    parts = spark.read.schema(StructType([*df.schema.fields, StructField("slice_number", IntegerType())])).parquet(dealt)
+    for k in range(slices):
+        # Dealing round gives every file some rows, so a trigger's files are those of one slice.
+        parts.where(F.col("slice_number") == k).drop("slice_number").repartition(files).write.parquet(f"{path}/{k:06d}")
+    if last is not None:
+        last.repartition(files).write.parquet(f"{path}/{slices:06d}")
     return path
 
 

@@ -21,10 +21,15 @@ from tidemark.functions.times import micros
 from tidemark.operators.patterns import Machine
 
 
-def keyed(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: StructType | str, mode: str = "append", time_mode: str = "none") -> DataFrame:
-    """Run a processor per key; needs the RocksDB state store (``runtime.state_store``)."""
+def keyed(
+    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: StructType | str, mode: str = "append", time_mode: str = "none", event_time: str = ""
+) -> DataFrame:
+    """Run a processor per key; needs the RocksDB state store (``runtime.state_store``).
+
+    With ``event_time``, a column of the output, the watermark goes on to the next stage.
+    """
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode=time_mode
+        statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="EventTime" if event_time else time_mode, eventTimeColumnName=event_time
     )
 
 
@@ -135,22 +140,38 @@ class RunningTotal(Ordered):
 
 
 class RangeCount(Ordered):
-    """Rows of the key from ``span`` before a row up to its time; keeps the times in reach."""
+    """Rows of the key from ``span`` before a row up to its time.
+
+    Times in reach are kept in stretches, ``SPREAD`` to a span, so that a batch writes only the stretches of its own rows.
+    """
+
+    SPREAD = 64
 
     def __init__(self, order, ts: str, span: str, name: str = "cnt"):
         super().__init__(order)
         self.ts, self.span, self.name = ts, micros(span), name
+        self.width = max(1, self.span // self.SPREAD)
 
     def open(self, handle):
-        self.times = self.items(handle, "times", "at long")
+        self.times = handle.getMapState("times", "stretch long", "at array<long>, n array<long>")
 
     def step(self, key, rows):
         new = rows[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
-        old = np.array([t[0] for t in self.times.get()], "int64") if self.times.exists() else np.empty(0, "int64")
-        seen = np.sort(np.concatenate([old, new]))
-        counts = np.searchsorted(seen, new, "right") - np.searchsorted(seen, new - self.span, "left")
-        self.times.put([(int(t),) for t in seen[seen >= seen[-1] - self.span]])
-        return rows.assign(**{self.name: counts.astype("int64")})
+        kept = {k[0]: (v[0], v[1]) for k, v in self.times.iterator()} if self.times.exists() else {}
+        old, weights = (np.array([x for v in kept.values() for x in v[c]], "int64") for c in (0, 1))
+        times, place = np.unique(np.concatenate([old, new]), return_inverse=True)
+        number = np.bincount(place, np.concatenate([weights, np.ones(len(new), "int64")]), len(times)).astype("int64")
+        upto = np.concatenate([[0], number.cumsum()])
+        counts = upto[np.searchsorted(times, new, "right")] - upto[np.searchsorted(times, new - self.span, "left")]
+        stretch, oldest = times // self.width, (times[-1] - self.span) // self.width
+        for s in kept:
+            if s < oldest:
+                self.times.removeKey((s,))
+        for s in np.unique(new // self.width):
+            if s >= oldest:
+                here = stretch == s
+                self.times.updateValue((int(s),), (times[here].tolist(), number[here].tolist()))
+        return rows.assign(**{self.name: counts})
 
 
 class SlidingCountWindow(Ordered):

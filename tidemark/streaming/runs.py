@@ -97,6 +97,28 @@ def lookup_per_batch(dimension: Callable[[], DataFrame], join: Callable[[DataFra
     return write
 
 
+#: The event time of a row that ends all windows; no row of a table is that late.
+CLOSING = "9000-01-01 00:00:00"
+
+
+def closing_row(table: DataFrame, ts: str) -> DataFrame:
+    """One row of nulls at ``CLOSING``, with the columns of a table."""
+    kinds = {f.name: f.dataType for f in table.schema.fields}
+    values = [F.lit(CLOSING if n == ts else None).cast(k).alias(n) for n, k in kinds.items()]
+    return table.sparkSession.range(1).select(*values)
+
+
+def closed(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
+    """Event time and watermark of a stream whose last row is a closing one.
+
+    That row only moves the watermark, behind every window, and goes no further. What is asked of other columns later must
+    not be asked before the watermark, where the closing row would go missing: a condition on a random number keeps the
+    optimizer from moving it there. Conditions of the table itself belong in front of the closing row.
+    """
+    marked = df.withWatermark(ts, delay).withColumn("__kept", F.rand() + 1 > 0)
+    return marked.where((F.col(ts) < F.lit(CLOSING).cast("timestamp")) & F.col("__kept")).drop("__kept")
+
+
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """A zone-less time column as the timestamp type that watermarks need."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
