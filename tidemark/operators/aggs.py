@@ -6,8 +6,9 @@ that holds a large share of the rows sends one partial row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +109,23 @@ def max_by_row(df: DataFrame, keys: Sequence[str], column: str, order: Sequence[
     return df.withColumn("__rank", F.row_number().over(best)).where(F.col("__rank") <= 1).drop("__rank")
 
 
+def apply_window(df: DataFrame, keys: Sequence[str], ts: str, size: str, function: Callable[[tuple, pd.DataFrame], pd.DataFrame], schema: str, columns: Sequence[str] = ()) -> DataFrame:
+    """A caller's function over the rows of each key and window, in the order of their times.
+
+    It gets the key values, the bounds of the window, and the window's ``ts`` and ``columns`` as a pandas table, and returns a
+    table of ``schema``. As a function may look at all rows, those of one key and window are in one task's memory at a time;
+    what aggregates can say is better said with ``window_summary`` or ``global_window_agg``.
+    """
+    placed = df.select(*keys, ts, *columns, F.window(ts, size).alias("window")).select(
+        *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), ts, *columns
+    )
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return function(key, rows[[ts, *columns]].sort_values(ts, kind="stable", ignore_index=True))
+
+    return placed.groupBy(*keys, "window_start", "window_end").applyInPandas(run, schema)
+
+
 def window_summary(df: DataFrame, keys: Sequence[str], ts: str, size: str) -> DataFrame:
     """Per key and window: number of rows, earliest and latest time, window bounds."""
     out = df.groupBy(*keys, F.window(ts, size)).agg(

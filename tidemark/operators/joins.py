@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import interval, micros, time_bucket
@@ -54,6 +54,23 @@ def lookup_join(stream: DataFrame, dim: DataFrame, stream_key: str, dim_key: str
     return stream.join(dim, stream[stream_key] == dim[dim_key], how)
 
 
+def with_validity(versions: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str = "valid_to") -> DataFrame:
+    """Versions of dimension rows with the time at which the next one takes over, null for the last."""
+    following = Window.partitionBy(*keys).orderBy(valid_from)
+    return versions.withColumn(valid_to, F.lead(valid_from).over(following))
+
+
+def as_of_join(rows: DataFrame, versions: DataFrame, row_key: str, key: str, ts: str, valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left") -> DataFrame:
+    """Enrich each row with the version of the dimension row that was valid at the row's own time.
+
+    ``versions`` has their validity (``with_validity``), so a row meets one version at most; rows before the first version
+    have none. An equality join on the key with a range as its rest: the versions of a key are few, a hot key of ``rows`` is
+    split by the adaptive skew join.
+    """
+    in_time = (rows[ts] >= versions[valid_from]) & (versions[valid_to].isNull() | (rows[ts] < versions[valid_to]))
+    return rows.join(versions, (rows[row_key] == versions[key]) & in_time, how)
+
+
 def comma_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
     """``FROM a, b WHERE ...`` with an equality in the condition."""
     return left.join(right, condition, "inner")

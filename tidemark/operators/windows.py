@@ -133,6 +133,11 @@ def count_window_slide(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         numbered.withColumn("__pane", F.ceil(F.col("__rn") / pane).cast("long"))
         .groupBy(*keys, "__pane").agg(F.max("__rn").alias("__rn"), *_partial(folds))
     )
+    return _firings(panes, keys, pane, size, slide, folds)
+
+
+def _firings(panes: DataFrame, keys: Sequence[str], pane: int, size: int, slide: int, folds: Mapping[str, Fold]) -> DataFrame:
+    """Copy panes to the firings over them; ``__rn`` is the last row of a pane that there is."""
     first = F.ceil(F.col("__pane") * pane / slide).cast("long") * slide
     last = F.floor((F.col("__pane") * pane + (size - pane)) / slide).cast("long") * slide
     firings = panes.where(first <= last).withColumn("at_row", F.explode(F.sequence(first, last, F.lit(slide).cast("long"))))
@@ -140,6 +145,26 @@ def count_window_slide(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.where(F.col("__rn") == F.col("at_row")).drop("__rn")
 
 
+def count_window_slide_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str], times: str, size: int, slide: int, folds: Mapping[str, Fold], **slicing) -> DataFrame:
+    """``count_window_slide`` over rows that each stand for ``times`` equal rows in a row.
+
+    A running sum of ``times`` tells which rows of its key a row stands for, and arithmetic which panes these fall in, so the
+    repeated rows are never made, shuffled or sorted. Sums count a row as often as it stands in a pane. Rows with ``times``
+    below 1 stand for none.
+    """
+    pane = gcd(size, slide)
+    there = df.where(F.col(times) >= 1)
+    placed = prefix_scan(there, keys, order, {"__upto": running(F.col(times).cast("long"))}, **slicing)
+    from_row = F.col("__upto") - F.col(times) + 1
+    number = lambda row: F.ceil(row / pane).cast("long")
+    spread = placed.withColumn("__pane", F.explode(F.sequence(number(from_row), number(F.col("__upto")))))
+    last = F.least(F.col("__upto"), F.col("__pane") * pane)
+    inside = last - F.greatest(from_row, (F.col("__pane") - 1) * pane + 1) + 1
+    counted = [_MERGE[f.kind](f.column * inside if f.kind == "sum" else f.column).alias(n) for n, f in folds.items()]
+    panes = spread.groupBy(*keys, "__pane").agg(F.max(last).alias("__rn"), *counted)
+    return _firings(panes, keys, pane, size, slide, folds)
+
+
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, folds: Mapping[str, Fold], **slicing) -> DataFrame:
     """Aggregates of each full group of ``n`` consecutive rows of a key."""
     numbered = number_rows(df, keys, order, "__rn", **slicing)

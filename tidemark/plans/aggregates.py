@@ -1,5 +1,6 @@
 """Reports on grouped, distinct, running and ranked aggregates."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import text_bar
@@ -137,6 +138,25 @@ def window_summary(t):
     return aggs.window_summary(t("events"), ["user_id"], "ts", "6 hours")
 
 
+@report(
+    "longest_pauses",
+    """SELECT user_id, window_start, count(*) AS cnt, max(pause) AS longest_us FROM (
+         SELECT user_id, time_bucket(INTERVAL '1 day', ts) AS window_start,
+                coalesce(date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id, time_bucket(INTERVAL '1 day', ts) ORDER BY ts), ts), 0) AS pause FROM events)
+       GROUP BY 1, 2""",
+)
+def longest_pauses(t):
+    """The longest time without an event of a user's day, by a function over the sorted times."""
+
+    def pauses(key, rows):
+        times = rows["ts"].astype("datetime64[us]").astype("int64")
+        longest = int(times.diff().max()) if len(times) > 1 else 0
+        return pd.DataFrame({"user_id": pd.Series([key[0]], dtype="Int64"), "window_start": [key[1]], "cnt": [len(times)], "longest_us": [longest]})
+
+    schema = "user_id long, window_start timestamp_ntz, cnt long, longest_us long"
+    return aggs.apply_window(t("events"), ["user_id"], "ts", "1 day", pauses, schema)
+
+
 @report(
     "integer_average",
     "SELECT l_returnflag, CAST(sum(l_linenumber) // count(*) AS BIGINT) AS average FROM lineitem GROUP BY 1",

@@ -16,7 +16,7 @@ def image(status):
     return F.to_json(F.struct("o_orderkey", "o_custkey", status.alias("o_orderstatus")))
 
 
-def order_changes(t):
+def order_changes(orders):
     """Raw change rows: topic, operation and the JSON images of a row before and after."""
     key = F.col("o_orderkey")
     steps = F.array(
@@ -25,7 +25,7 @@ def order_changes(t):
         F.when(key % 5 == 0, F.struct(F.lit(2).alias("step"), F.lit("DELETE").alias("op"))),
         F.when(key % 10 == 0, F.struct(F.lit(3).alias("step"), F.lit("CREATE").alias("op"))),
     )
-    rows = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.explode(F.array_compact(steps)).alias("s"))
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.explode(F.array_compact(steps)).alias("s"))
     old, new = F.col("o_orderstatus"), F.concat(F.lit("new-"), "o_orderstatus")
     op = F.col("s.op")
     updated = key % 3 == 0
@@ -38,7 +38,14 @@ def order_changes(t):
 
 
 def normalized(t):
-    return changes.normalize_change_event(order_changes(t))
+    return changes.normalize_change_event(order_changes(t("orders")))
+
+
+def keyed_changes(raw):
+    """Normalised changes with the key of the row they concern."""
+    change = changes.normalize_change_event(raw)
+    key = F.coalesce(F.try_element_at("after", F.lit("o_orderkey")), F.try_element_at("before", F.lit("o_orderkey")))
+    return change.withColumn("o_orderkey", key.cast("long"))
 
 
 @report(
@@ -77,9 +84,6 @@ def retractions(t):
        FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 10 = 0""",
 )
 def materialized_orders(t):
-    keyed = normalized(t).withColumn(
-        "o_orderkey",
-        F.coalesce(F.try_element_at("after", F.lit("o_orderkey")), F.try_element_at("before", F.lit("o_orderkey"))).cast("long"),
-    )
+    keyed = keyed_changes(order_changes(t("orders")))
     current = changes.materialize_changes(keyed, ["o_orderkey"], ["step"], F.col("type") == "delete")
     return current.select("o_orderkey", F.try_element_at("after", F.lit("o_orderstatus")).alias("status"))

@@ -8,7 +8,7 @@ from tidemark.plans.registry import SQL, report
 from tidemark.plans.windowing import ARRIVAL
 from tidemark.runtime import state_store
 from tidemark.sources.codecs import decode_json
-from tidemark.streaming import controls, event_time, runs
+from tidemark.streaming import controls, event_time, runs, triggers
 from tidemark.streaming import processors as ps
 
 ORDER = ["ts", "event_id"]
@@ -116,3 +116,34 @@ def streamed_chained_windows(t):
     correct = F.when(aggs.int_avg("sum(cnt)", "count(1)") == 2, 1).otherwise(0)
     out = event_time.chained_windows(counted, events(), "user_id", "ts", "1 day", "2 days", correct)
     return runs.zone_less(runs.append_to_table(out), "window_start")
+
+
+@report(
+    "streamed_purged_counts",
+    f"""SELECT user_id, count(*) AS firings, CAST(sum(5) AS BIGINT) AS cnt, CAST(sum(total) AS BIGINT) AS total, min(total)::BIGINT AS lowest, max(total)::BIGINT AS highest FROM (
+          SELECT user_id, rn, sum(k) OVER (PARTITION BY user_id ORDER BY rn ROWS 4 PRECEDING) AS total
+          FROM (SELECT user_id, {K} AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)) WHERE rn % 5 = 0 GROUP BY user_id""",
+)
+def streamed_purged_counts(t):
+    """Every five rows of a user fire and are purged."""
+    state_store(t.spark)
+    rows = decode_json(t.stream("events"), "props", "k long")
+    fired = runs.append_to_table(triggers.triggered_windows(rows, "user_id", "ts", ORDER, "k", None, triggers.purging(triggers.count(5))))
+    return fired.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("firings"), F.sum("cnt").alias("cnt"), F.sum("total").alias("total"), F.min("total").alias("lowest"), F.max("total").alias("highest")
+    )
+
+
+@report(
+    "streamed_daily_firings",
+    f"""WITH e AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS window_start, ts, event_id, {K} AS k FROM events),
+        r AS (SELECT user_id, window_start, row_number() OVER w AS cnt, CAST(sum(k) OVER w AS BIGINT) AS total FROM e WINDOW w AS (PARTITION BY user_id, window_start ORDER BY ts, event_id))
+        SELECT *, 'count' AS cause FROM r WHERE cnt % 3 = 0
+        UNION ALL SELECT user_id, window_start, count(*), CAST(sum(k) AS BIGINT), 'end' FROM e GROUP BY 1, 2""",
+)
+def streamed_daily_firings(t):
+    """Days of a user fire at every third row, and at their end."""
+    state_store(t.spark)
+    rows = decode_json(runs.closed(runs.event_time(t.stream("events", closing="ts")), "ts", "1 hour"), "props", "k long")
+    trigger = triggers.either(triggers.count(3), triggers.at_end())
+    return runs.zone_less(runs.append_to_table(triggers.triggered_windows(rows, "user_id", "ts", ORDER, "k", "1 day", trigger)), "window_start")

@@ -6,13 +6,15 @@ from tidemark.functions.text import case_map
 from tidemark.operators import aggs, joins, watermarks
 from tidemark.operators.routing import split_by_rules, union_all
 from tidemark.plans.aggregates import K
+from tidemark.plans.capture import keyed_changes, order_changes
 from tidemark.plans.joining import CATEGORY_NAMES, OTHER_CATEGORY, rules
 from tidemark.plans.keyed import ALERTS_SQL, CONSECUTIVE_SQL, MATCHES_SQL, TRANSITIONS, pairs
 from tidemark.plans.registry import SQL, Tables, report
 from tidemark.plans.windowing import ARRIVAL
 from tidemark.runtime import fresh_dir, state_store
-from tidemark.sinks import batches
+from tidemark.sinks import batches, merges
 from tidemark.sources.codecs import decode_json
+from tidemark.sources.readers import CachedDimension
 from tidemark.streaming import processors as ps
 from tidemark.streaming import runs
 
@@ -252,14 +254,16 @@ def streamed_ascending_counts(t):
 
 @report(
     "streamed_sliding_pv_uv",
-    """SELECT window_end, count(*) AS uv FROM (
-         SELECT DISTINCT time_bucket(INTERVAL '2 hours', ts) + INTERVAL '2 hours' * (k + 1) AS window_end, user_id FROM events, range(3) r(k)) GROUP BY 1""",
+    """SELECT time_bucket(INTERVAL '2 hours', ts) + INTERVAL '2 hours' * (k + 1) AS window_end, count(*) AS pv, count(DISTINCT user_id) AS uv
+       FROM events, range(3) r(k) GROUP BY 1""",
 )
 def streamed_sliding_pv_uv(t):
-    """Distinct users of six hours, every two hours: the first row of a user in each window is kept, then counted."""
-    placed = watermarks.watermark(events(t), "ts", "1 hour").select("user_id", F.window("ts", "6 hours", "2 hours").alias("window"))
-    first = placed.dropDuplicates(["user_id", "window"]).select("user_id", F.col("window.end").alias("window_end"))
-    return runs.zone_less(runs.count_first_rows(runs.append_to_table(first)), "window_end")
+    """Rows and distinct users of six hours, every two hours: state has a count per window and user, which leaves it with the window."""
+    rows = watermarks.watermark(events(t), "ts", "1 hour")
+    seen = rows.groupBy(F.window("ts", "6 hours", "2 hours").alias("window"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = runs.upsert_to_table(seen.select(F.col("window.end").alias("window_end"), "user_id", "n"), ["window_end", "user_id"])
+    counted = kept.groupBy("window_end").agg(F.sum("n").alias("pv"), F.count("user_id").alias("uv"))
+    return runs.zone_less(counted, "window_end")
 
 
 @report(
@@ -276,3 +280,49 @@ def streamed_lookup_per_batch(t):
     )
     runs.drain(t.stream("orders"), sink)
     return batches.read_upserted(t.spark, path, ["o_orderkey"])
+
+
+# Every second customer moves once; the orders before and after see different segments.
+VERSIONS_SQL = """(SELECT *, lead(valid_from) OVER (PARTITION BY c_custkey ORDER BY valid_from) AS valid_to FROM (
+      SELECT c_custkey, c_mktsegment AS segment, TIMESTAMP '1900-01-01' AS valid_from FROM customer
+      UNION ALL SELECT c_custkey, 'moved to ' || c_nationkey, TIMESTAMP '1995-01-01' + INTERVAL 1 DAY * (c_custkey % 500) FROM customer WHERE c_custkey % 2 = 0))"""
+AS_OF_SQL = f"""SELECT o_orderkey, o_custkey, segment FROM orders
+    LEFT JOIN {VERSIONS_SQL} ON o_custkey = c_custkey AND o_orderdate >= valid_from AND (valid_to IS NULL OR o_orderdate < valid_to)"""
+
+
+def customer_versions(t):
+    customers = t("customer")
+    first = customers.select("c_custkey", F.col("c_mktsegment").alias("segment"), F.expr("TIMESTAMP_NTZ '1900-01-01 00:00:00'").alias("valid_from"))
+    moved = customers.where("c_custkey % 2 = 0").select(
+        "c_custkey", F.concat(F.lit("moved to "), F.col("c_nationkey").cast("string")).alias("segment"),
+        F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00' + make_dt_interval(CAST(c_custkey % 500 AS INT))").alias("valid_from"),
+    )
+    return joins.with_validity(first.unionByName(moved), ["c_custkey"], "valid_from")
+
+
+@report("orders_with_segment_of_their_time", AS_OF_SQL)
+def orders_with_segment_of_their_time(t):
+    return joins.as_of_join(t("orders"), customer_versions(t), "o_custkey", "c_custkey", "o_orderdate").select("o_orderkey", "o_custkey", "segment")
+
+
+@report("streamed_orders_with_segment_of_their_time", AS_OF_SQL)
+def streamed_orders_with_segment_of_their_time(t):
+    """The dimension with its versions is kept for ten minutes and then read again; each batch sees one state of it."""
+    path, dimension = fresh_dir(t.spark, "as-of"), CachedDimension(lambda: customer_versions(t), ttl_seconds=600)
+
+    def join(batch, versions):
+        return joins.as_of_join(batch, versions, "o_custkey", "c_custkey", "o_orderdate").select("o_orderkey", "o_custkey", "segment")
+
+    runs.drain(t.stream("orders"), runs.lookup_per_batch(dimension.current, join, batches.upsert_sink(path, ["o_orderkey"])))
+    return batches.read_upserted(t.spark, path, ["o_orderkey"])
+
+
+@report("streamed_materialized_orders", SQL["materialized_orders"])
+def streamed_materialized_orders(t):
+    """Reads, updates and deletes merged by key from batch to batch; the table is compacted once and read behind the pointer."""
+    path = fresh_dir(t.spark, "merged")
+    keyed = keyed_changes(order_changes(t.stream("orders"))).withColumn("gone", F.col("type") == "delete").select("o_orderkey", "step", "gone", "after")
+    runs.drain(keyed, merges.merge_changes_sink(path, ["o_orderkey"], ["step"], F.col("gone")))
+    merges.compact_merged(t.spark, path, ["o_orderkey"], ["step"])
+    current = merges.read_merged(t.spark, path, ["o_orderkey"], ["step"])
+    return current.select("o_orderkey", F.try_element_at("after", F.lit("o_orderstatus")).alias("status"))

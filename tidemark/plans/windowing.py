@@ -81,11 +81,11 @@ def user_sessions(t):
         WHERE at_row % 5 = 0""",
 )
 def word_count_windows(t):
-    docs = t("documents")
-    words = docs.select("doc_id", F.posexplode(F.split(F.lower("text"), r"\W+")).alias("pos", "token")).where("token <> ''")
+    """A document holds a token so many times in a row, as the order of the rows is that of documents."""
+    words = t("documents").select("doc_id", F.explode(F.split(F.lower("text"), r"\W+")).alias("token")).where("token <> ''")
+    counted = cut_lineage(words.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("times")), "counts")
     folds = {"n": running(one()), "doc_sum": running("doc_id")}
-    at_most = docs.agg(F.sum("n_chars")).scalar()
-    return windows.count_window_slide(words, ["token"], ["doc_id", "pos"], 10, 5, folds, total=at_most)
+    return windows.count_window_slide_repeated(counted, ["token"], ["doc_id"], "times", 10, 5, folds)
 
 
 @report(
