@@ -98,13 +98,16 @@ def _score(texts: Iterable[str | None], model: LanguageModel) -> tuple[list[str]
     return labels, scores
 
 
-def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS, smoothing: float = 0.5) -> LanguageModel:
+def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS, smoothing: float = 0.5, key: str = "doc_id") -> LanguageModel:
     """Fit on text and lang of labelled, from about fit_rows rows of each language.
 
-    Rows with a null lang or text are not used. The share of a language in all labelled rows is its prior. The driver gets
+    Rows are picked by a hash of text and key, those without a key by their place in the table, so that a text that stands in
+    many rows is picked in proportion and not with all of them or none. Rows with a null lang or text are not used. The share of a language in all labelled rows is its prior. The driver gets
     the row counts of at most MAX_LANGUAGES languages and 2**BUCKET_BITS sums for each, whatever the size of the table.
     """
-    rows = labelled.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    place = F.monotonically_increasing_id().cast("string")
+    picked_by = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("at "), place)) if key in labelled.columns else place
+    rows = labelled.select("text", "lang", picked_by.alias("picked_by")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counted) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -114,7 +117,7 @@ def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS, smoothing:
     labels = sorted(counts)
     steps = 1 << 30
     share = F.element_at(F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), F.array(*[F.lit(int(steps * min(1.0, fit_rows / counts[x]))) for x in labels])), F.col("lang"))
-    picked = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(steps)) < share)
+    picked = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "picked_by", "text"), F.lit(steps)) < share).select("text", "lang")
     number = {x: k for k, x in enumerate(labels)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
