@@ -18,13 +18,15 @@ from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pieces import encode_pieces, read_model
 from tidemark.llm.prefixtrie import prefix_trie
 from tidemark.llm.quality import judge_quality
-from tidemark.llm.sharding import LIMIT_BYTES, shard_by_bytes
+from tidemark.llm.sharding import shard_by_bytes
 from tidemark.llm.sql import DIVERGENCE, LINE_DEDUP, PREFIX_TRIE, QUALITY, URLS
 from tidemark.llm.tokencounts import count_tokens
 from tidemark.llm.urls import judge_urls, rules_table
 
 #: Texts of more tokens than this are over the limit.
 TOKEN_LIMIT = 1024
+#: Shards that one reader of a training job takes at a time; small tables have several as well.
+SHARD_BYTES = 1 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,7 +94,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return shard_by_bytes(table(spark, folder, "documents"), LIMIT_BYTES)
+    return shard_by_bytes(table(spark, folder, "documents"), SHARD_BYTES)
 
 
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,28 +21,29 @@ def _hash_word(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, WORD_BITS // 4), 16, 10).cast("long")
 
 
-def _directory(rows: DataFrame, limit: int, word: str, taken: Column) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with bucket (a text of bits) as far as this hash word splits them, and those that it can't split."""
-    done, pending, depth = [], rows.withColumn("prefix", F.lit(0).cast("long")), 0
+def _directory(rows: DataFrame, limit: int, word: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with bucket (a text of bits) as far as this hash word splits them, and those that it can't split.
+
+    Rows of different prior bits never share a bucket; the bits of this word go on behind them.
+    """
+    done, pending, depth = [], rows, 0
     while depth < WORD_BITS:
         low, depth = depth, depth + STEP
-        cells = pending.groupBy(_bits(F.col(word), depth).alias("cell")).agg(F.sum("n_bytes").alias("n_bytes"), F.count("*").alias("n"))
-        levels = cells.select("cell", "n_bytes", "n", F.explode(F.sequence(F.lit(low if low == 0 else low + 1), F.lit(depth))).alias("depth"))
+        cells = pending.groupBy("prior", _bits(F.col(word), depth).alias("cell")).agg(F.sum("n_bytes").alias("n_bytes"), F.count("*").alias("n"))
+        levels = cells.select("prior", "cell", "n_bytes", "n", F.explode(F.sequence(F.lit(low if low == 0 else low + 1), F.lit(depth))).alias("depth"))
         levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {depth} - depth)"))
-        sums = levels.groupBy("depth", "prefix").agg(F.sum("n_bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
+        sums = levels.groupBy("prior", "depth", "prefix").agg(F.sum("n_bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
         fitting = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
-        entries = levels.select("cell", "depth", "prefix").join(fitting, ["depth", "prefix"])
-        directory = cut(entries.groupBy("cell").agg(F.min_by(F.struct("depth", "prefix", "shard_bytes", "shard_rows"), "depth").alias("shard")))
-        found = pending.withColumn("cell", _bits(F.col(word), depth)).join(directory, "cell", "left")
+        entries = levels.select("prior", "cell", "depth", "prefix").join(fitting, ["prior", "depth", "prefix"])
+        directory = cut(entries.groupBy("prior", "cell").agg(F.min_by(F.struct("depth", "prefix", "shard_bytes", "shard_rows"), "depth").alias("shard")))
+        found = pending.withColumn("cell", _bits(F.col(word), depth)).join(directory, ["prior", "cell"], "left")
         name = F.when(F.col("shard.depth") == 0, F.lit("")).otherwise(F.expr("lpad(bin(shard.prefix), shard.depth, '0')"))
-        done.append(found.where(F.col("shard").isNotNull()).select("row", "n_bytes", F.concat(taken, name).alias("shard"), "shard.shard_bytes", "shard.shard_rows", *[c for c in rows.columns if c not in ("row", "n_bytes")]))
-        rest = cells.join(directory, "cell", "left_anti")
+        done.append(found.where(F.col("shard").isNotNull()).select("row", "n_bytes", F.concat("prior", name).alias("shard"), "shard.shard_bytes", "shard.shard_rows"))
+        rest = cells.join(directory, ["prior", "cell"], "left_anti")
         if rest.isEmpty():
-            break
+            return _union(done), None
         pending = found.where(F.col("shard").isNull()).drop("shard", "cell")
-    else:
-        return _union(done), pending.drop("prefix")
-    return _union(done), None
+    return _union(done), pending
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -64,11 +65,13 @@ def shard_by_bytes(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     text = whole_text(F.col("text"))
     named = docs.select(F.col("doc_id").alias("row"), F.octet_length(text).cast("long").alias("n_bytes"), _hash_word(F.concat_ws(":", F.col("doc_id").cast("string"), text_key(text).cast("string"))).alias("word"), F.monotonically_increasing_id().alias("place"))
     rows = cut(named)
-    placed, rest = _directory(rows, limit, "word", F.lit(""))
+    placed, rest = _directory(rows.withColumn("prior", F.lit("")), limit, "word")
     if rest is not None:
         again = rest.withColumns({"prior": F.lpad(F.conv(F.col("word").cast("string"), 10, 2), WORD_BITS, "0"), "word2": _hash_word(F.col("place").cast("string"))})
-        second, _ = _directory(again, limit, "word2", F.col("prior"))
-        placed = placed.unionByName(second, allowMissingColumns=True)
+        second, left = _directory(again, limit, "word2")
+        if left is not None:
+            raise RuntimeError("two hash words can't part some rows; none may be left out")
+        placed = placed.unionByName(second)
     return placed.select(F.col("row").alias("doc_id"), "n_bytes", "shard", "shard_bytes", "shard_rows")
 
 
