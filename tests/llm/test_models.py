@@ -30,6 +30,17 @@ def test_language_held_out(spark):
     assert np.mean([r.lang == r.lang_pred for r in told]) > 0.97 and all(0 <= r.score <= 1 for r in told)
 
 
+def test_a_language_of_one_text_is_learned(spark):
+    """Rows are picked one by one, not a text with all of its copies."""
+    for k, t in enumerate(["the cat sat on the mat", "once upon a time", "what a lovely day", "no news is good news"]):
+        rows = [(i, t, "en") for i in range(2000)] + [(None, t, "en")] * 500 + [(5000 + i, f"der Hund und die Katze {i} schlafen", "de") for i in range(50)]
+        labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        for table in (labelled, labelled.drop("doc_id")):
+            model = fit_language_model(table, fit_rows=200)
+            got = predict_languages(spark.createDataFrame([(1, t), (2, "die Katze und der Hund")], "doc_id long, text string"), model).collect()
+            assert {r.doc_id: r.lang_pred for r in got} == {1: "en", 2: "de"}, (k, table.columns)
+
+
 def test_language_edges(spark):
     docs = frame(spark, [*AWKWARD, "der die das und", "the of and to"]).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").when(F.col("doc_id") % 3 == 0, "de"))
     model = fit_language_model(docs)

@@ -149,6 +149,25 @@ def test_urls(spark, ranges):
     assert {r.verdict for r in judge_urls(pages, rules_table(spark, rules).limit(0)).collect()} == {"allow"}
 
 
+def test_a_path_that_many_hosts_share(spark):
+    """All home pages below one domain are one key for its rules."""
+    hosts = [f"h{k}.{d}" for k in range(300) for d in ("com", "net", "www.example.com", "org")]
+    urls = [f"https://{h}{p}" for h in hosts for p in ("/", "/es/x", "/en/")]
+    pages = spark.createDataFrame([(k, u, "h", "s", "p") for k, u in enumerate([*urls, *urls[:50]])], "page_id long, url string, html string, suffix string, path string")
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages, rules_table(spark)).collect()}
+    assert len(got) == len(urls) + 50
+    for k, u in enumerate([*urls, *urls[:50]]):
+        host, path = u[8:].split("/", 1)
+        want = (None, "allow")
+        if host.endswith(".www.example.com") and path == "en/":
+            want = ("www.example.com/en/", "allow")
+        elif host.endswith(".com"):
+            want = ("com/", "allow")
+        elif host.endswith(".net") and path == "es/x":
+            want = ("net/es/", "block")
+        assert got[k] == want, u
+
+
 def test_shards_split_only_where_needed(spark):
     texts = [*AWKWARD, *["z" * (k % 50) for k in range(400)], "y" * 5000]
     docs = frame(spark, texts)
@@ -175,6 +194,20 @@ def test_equal_rows_are_dealt_out_too(spark):
     assert len(rows) == 200 and max(held.values()) <= 10 and all(r.shard_bytes == 100 * held[r.shard] for r in rows)
 
 
+def test_several_groups_of_equal_rows_keep_their_own_shards(spark):
+    ids = [k for k in (9, 10, None, 11) for _ in range(100)]
+    rows = shard_by_bytes(frame(spark, ["w" * 100] * 300 + ["v" * 400] * 100, ids=ids), limit=1000).collect()
+    held = collections.defaultdict(list)
+    for r in rows:
+        held[r.shard].append(r)
+    assert len(rows) == 400
+    for shard, found in held.items():
+        assert {(r.shard_rows, r.shard_bytes) for r in found} == {(len(found), sum(r.n_bytes for r in found))}
+        assert sum(r.n_bytes for r in found) <= 1000 and len({r.doc_id for r in found}) == 1
+        assert not any(other != shard and other.startswith(shard) for other in held)
+    assert len(held) < 150
+
+
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_queries_equal_their_sql(spark, name):
     from oracle import compare, duck

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, UPPER
+from tidemark.llm.common import LOWER, UPPER, cut
 
 #: The rules of the contract as verdict, host and path.
 RULES = (
@@ -50,7 +50,7 @@ def _bounds(keys: DataFrame, ranges: int) -> list[str]:
     n = keys.count()
     if n == 0 or ranges < 2:
         return []
-    picked = keys.where(F.pmod(F.xxhash64("key", "tie"), F.lit(max(1, n // SAMPLE))) == 0)
+    picked = keys.where(F.pmod(F.xxhash64("key"), F.lit(max(1, n // SAMPLE))) == 0)
     sample = sorted(r[0] for r in picked.select("key").collect())
     return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
@@ -61,7 +61,7 @@ def _sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     part = None
     for frame in frames:
         found = []
-        for number, key, is_url, host, path, rule, verdict in frame.itertuples(index=False, name=None):
+        for number, key, is_url, suffix, path, rule, verdict in frame.itertuples(index=False, name=None):
             if number != part:
                 part, stack = number, []
             while stack and not key.startswith(stack[-1][0]):
@@ -69,8 +69,8 @@ def _sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not is_url:
                 stack.append((key, rule, verdict))
             elif stack:
-                found.append((host, path, stack[-1][1], stack[-1][2]))
-        yield pd.DataFrame(found, columns=["host", "path", "rule", "verdict"])
+                found.append((suffix, path, stack[-1][1], stack[-1][2]))
+        yield pd.DataFrame(found, columns=["suffix", "path", "rule", "verdict"])
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: int | None = None) -> DataFrame:
@@ -81,8 +81,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", range
     and path. Repeated rows and null ids give a row each. pages needs page_id and url, no other column is read.
 
     Every URL gets a key for its host and for each domain above it that some rule names, so that a rule is an interval of
-    keys that start with its own. Keys are dealt out by range, and a rule whose interval reaches over several ranges goes
-    to each; a URL that many rows share is dealt out by its row within its range.
+    keys that start with its own. A domain and path that many URLs have is one key. Keys are dealt out by range, and a rule
+    whose interval reaches over several ranges goes to each; what a key met is then joined back to its URLs. An empty table
+    gives an empty one.
     """
     spark = pages.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -94,9 +95,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", range
     rule_rows = rules.groupBy(F.translate("host", UPPER, LOWER).alias("host"), "path").agg(F.max("verdict").alias("verdict"))
     rule_rows = rule_rows.select("host", "path", "verdict", F.concat("host", "path").alias("rule"), _key(F.col("host"), F.col("path")).alias("key"))
     named = rule_rows.select(F.col("host").alias("suffix")).distinct()
-    urls = distinct.where(F.col("host") != "").select("host", "path", F.explode(above).alias("suffix")).join(named, "suffix")
-    urls = urls.select("host", "path", _key(F.col("suffix"), F.col("path")).alias("key"))
-    bounds = _bounds(urls.select("key", F.xxhash64("host").alias("tie")), ranges)
+    urls = cut(distinct.where(F.col("host") != "").select("host", "path", F.explode(above).alias("suffix")).join(named, "suffix"))
+    keys = cut(urls.select("suffix", "path").distinct().withColumn("key", _key(F.col("suffix"), F.col("path"))))
+    bounds = _bounds(keys.select("key"), ranges)
 
     @F.pandas_udf("int")
     def range_of(keys: pd.Series) -> pd.Series:
@@ -107,11 +108,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", range
         return keys.map(lambda k: list(range(bisect_right(bounds, k), bisect_right(bounds, k + LAST_CHARACTER) + 1)))
 
     no_text = F.lit(None).cast("string")
-    url_events = urls.select(range_of("key").alias("part"), "key", F.lit(True).alias("is_url"), "host", "path", no_text.alias("rule"), no_text.alias("verdict"))
-    rule_events = rule_rows.select(F.explode(ranges_of("key")).alias("part"), "key", F.lit(False).alias("is_url"), no_text.alias("host"), no_text.alias("path"), "rule", "verdict")
+    url_events = keys.select(range_of("key").alias("part"), "key", F.lit(True).alias("is_url"), "suffix", "path", no_text.alias("rule"), no_text.alias("verdict"))
+    rule_events = rule_rows.select(F.explode(ranges_of("key")).alias("part"), "key", F.lit(False).alias("is_url"), no_text.alias("suffix"), no_text.alias("path"), "rule", "verdict")
     dealt = url_events.unionByName(rule_events).repartitionByRange(max(1, len(bounds) + 1), "part")
-    hits = dealt.sortWithinPartitions("part", "key", "is_url").mapInPandas(_sweep, "host string, path string, rule string, verdict string")
-    best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "verdict")).alias("best"))
+    hits = dealt.sortWithinPartitions("part", "key", "is_url").mapInPandas(_sweep, "suffix string, path string, rule string, verdict string")
+    best = urls.join(hits, ["suffix", "path"]).groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "verdict")).alias("best"))
     return parsed.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )
