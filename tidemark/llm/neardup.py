@@ -182,6 +182,25 @@ def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.where(found < FEW, 1.0, np.clip(np.log(total / found) / np.log(1 / RARE), 0.05, 1.0)), found
 
 
+def deal_blocks(members: DataFrame) -> DataFrame:
+    """(family, low, high, block, node, root) of the nodes of each family: what is compared, block with block.
+
+    members are (family, node, root). Nodes outside the main class have blocks of their own, and so have those inside it, of
+    about BLOCK_NODES. An inner node goes to the outer blocks only, so a family of copies and a few strays has each copy
+    about once.
+    """
+    sizes = members.groupBy("family", "root").agg(F.count("*").alias("n")).groupBy("family").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("inner"), F.sum("n").alias("n"), F.count("*").alias("classes")
+    )
+    blocks = lambda n: F.ceil(n / BLOCK_NODES).cast("int")
+    sizes = sizes.where("classes > 1").select("family", "main", blocks(F.col("inner")).alias("inside"), blocks(F.col("n") - F.col("inner")).alias("outside"))
+    placed = members.join(sizes, "family").withColumn("outer", F.col("root") != F.col("main"))
+    block = F.when(F.col("outer"), F.pmod(F.xxhash64("node"), F.col("outside"))).otherwise(F.col("outside") + F.pmod(F.xxhash64("node"), F.col("inside")))
+    others = F.sequence(F.lit(0), F.when(F.col("outer"), F.col("outside") + F.col("inside")).otherwise(F.col("outside")) - 1)
+    dealt = placed.select("family", "node", "root", block.cast("int").alias("block"), F.explode(others).alias("other"))
+    return dealt.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row for every row of docs: doc_id, version, node, class_id, class_size and keeps.
 
@@ -287,16 +306,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     heads = cut(unsure.join(node_texts, "node").select("node", "root", "text").mapInArrow(head, "head long, node long, root long"))
     least = heads.groupBy("head").agg(F.min("node").alias("v"))
     families = components(heads.select("head", F.col("node").alias("u")).join(least, "head").select("u", "v").where("u <> v").distinct())
-    placed_texts = families.withColumnRenamed("root", "family").join(unsure, "node").join(node_texts, "node")
-    main = families.withColumnRenamed("root", "family").join(unsure, "node").groupBy("family").agg(F.mode("root", deterministic=True).alias("main"), F.count_distinct("root").alias("n"), F.count("*").alias("size"))
-    blocked = placed_texts.join(main.where("n > 1"), "family").select(
-        "family", "node", "root", "text", (F.col("root") == F.col("main")).alias("inner"), F.ceil(F.col("size") / BLOCK_NODES).cast("int").alias("blocks"),
-    )
-    # The main class and the rest have blocks of their own; two blocks of the main class are not compared.
-    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int") + F.when(F.col("inner"), F.col("blocks")).otherwise(0))
-    others = F.sequence(F.lit(0), F.when(F.col("inner"), F.col("blocks") - 1).otherwise(2 * F.col("blocks") - 1))
-    dealt = blocked.select("family", "node", "root", "text", "block", F.explode(others).alias("other"))
-    dealt = dealt.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "text")
+    dealt = deal_blocks(families.withColumnRenamed("root", "family").join(unsure, "node")).join(node_texts, "node")
     more = cut(dealt.groupBy("family", "low", "high").applyInArrow(compare_blocks, "u long, v long"))
     if not more.isEmpty():
         roots = cut(components(links.union(more)))
