@@ -1,5 +1,6 @@
 """Language ID, pieces, near-dedup, passages, decontamination and the pipeline."""
 
+import collections
 import random
 
 import numpy as np
@@ -190,6 +191,24 @@ def test_a_third_of_a_table_is_linked_as_plain_similarity_tells(spark):
     assert {found[k] for k in near} == {0} and all(found[k] == k for k in range(1200, 3600))
 
 
+def test_copies_and_a_few_strays_are_dealt_out_about_once(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_NODES", 16)
+
+    def dealt(copies, strays):
+        rows = [(1, k, 7) for k in range(copies)] + [(1, 10**6 + k, 100 + k) for k in range(strays)] + [(2, 5, 5), (2, 6, 5)]
+        return N.deal_blocks(spark.createDataFrame(rows, "family long, node long, root long"))
+
+    assert dealt(200, 3).count() <= 200 + 3 * 15 and dealt(400, 3).count() <= 2 * dealt(200, 3).count()
+    rows = dealt(100, 40).collect()
+    meet = collections.defaultdict(set)
+    for r in rows:
+        assert r.family == 1
+        meet[r.low, r.high].add(r.node)
+    outer = [10**6 + k for k in range(40)]
+    together = {(a, b) for nodes in meet.values() for a in nodes for b in nodes}
+    assert all((a, b) in together for a in outer for b in [*outer, *range(100)])
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(250)] + [(k, k + 1) for k in range(500, 560)] + [(9, 9)]
@@ -226,6 +245,28 @@ def test_passages(spark):
     assert repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_meet_their_own_hubs_only(spark):
+    """n rows without an id, each a copy of another document, are n pairs and not n * n."""
+    texts, ids = [], []
+    common = " ".join(prose(400, 20))
+    for k in range(40):
+        passage = " ".join(prose(500 + k, 80))
+        texts += [f"{common} {passage}", f"{' '.join(prose(900 + k, 20))} {passage}"]
+        ids += [k, None]
+    found = [r for r in repeated_passages(frame(spark, texts, ids)).collect() if r.removed]
+    assert len({r.version for r in found if r.doc_id is None}) == 40
+    assert all(r.end_word - r.first_word == 80 for r in found if r.doc_id is None)
+
+
+def test_a_paragraph_that_stands_twice_in_the_hub(spark):
+    words = prose(77, 200)
+    line, passage = words[:30], words[30:90]
+    hub = [*line, *prose(78, 60), *line, *passage]
+    other = [*prose(79, 40), *line, *passage]
+    found = [r for r in repeated_passages(frame(spark, [" ".join(hub), " ".join(other)])).collect() if r.removed]
+    assert [(r.doc_id, r.end_word - r.first_word) for r in found] == [(1, 90)]
+
+
 def test_passage_groups_keep_one(spark):
     passage = prose(70, 60)
     texts = [text(prose(200 + k, 30 + k) + passage + prose(400 + k, 50)) for k in range(60)]

@@ -183,27 +183,34 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     Paragraphs meet in buckets of their MinHash bands. All members of a bucket are linked with its smallest document, so
     that a passage of a third of all documents makes one row for each of them. Runs are then verified in the texts.
     """
-    named = docs.select(order_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    # Rows without an id are one document of many texts; part tells these apart, so that each meets its own hubs only.
+    part = F.when(F.col("doc_id").isNull(), text_key(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long"))
+    named = docs.select(order_id(F.col("doc_id")).alias("doc"), part.alias("part"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc = batch.column("doc").to_numpy(zero_copy_only=False)
+            doc, version = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "part"))
             for at, part in chunks(batch.column("text")):
                 text, local, keys = paragraph_bands(hash_words(part))
-                yield pa.RecordBatch.from_pydict(
-                    {"key": pa.array(keys.ravel(), pa.int64()), "doc": pa.array(np.repeat(doc[at + text], BANDS), pa.int64()), "pos": pa.array(np.repeat(local, BANDS), pa.int32())}
-                )
-
-    paragraphs = named.mapInArrow(band, "key long, doc long, pos int")
+                owner = np.repeat(at + text, BANDS)
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(keys.ravel(), pa.int64()), "doc": pa.array(doc[owner], pa.int64()), "part": pa.array(version[owner], pa.int64()),
+                    "pos": pa.array(np.repeat(local, BANDS), pa.int32()),
+                })
+
+    paragraphs = named.mapInArrow(band, "key long, doc long, part long, pos int")
+    # The smallest document is the hub. It has an id wherever a bucket has two documents, so it needs no part.
     keys = paragraphs.groupBy("key").agg(F.min("doc").alias("hub"), F.max("doc").alias("most")).where("hub < most").select("key", "hub")
     shared = cut(paragraphs.join(keys, "key"))
-    hubs = shared.where("doc = hub").groupBy("key").agg(F.min("pos").alias("hub_pos"))
-    seeds = shared.where("doc <> hub").join(hubs, "key").groupBy("doc", "hub", (F.col("pos") - F.col("hub_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds"))
-    pairs = seeds.groupBy("doc", "hub").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
+    hubs = shared.where("doc = hub").groupBy("key").agg(F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    # Where the hub has a paragraph several times, its first and its last place are tried.
+    places = F.explode(F.array_distinct(F.array("first_pos", "last_pos"))).alias("hub_pos")
+    seeds = shared.where("doc <> hub").join(hubs, "key").select("doc", "part", "hub", "pos", places).groupBy("doc", "part", "hub", (F.col("pos") - F.col("hub_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds"))
+    pairs = seeds.groupBy("doc", "part", "hub").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
     pairs = cut(pairs)
-    needed = pairs.select("doc").union(pairs.select("hub")).distinct()
-    texts = named.join(needed, "doc").withColumn("version", text_key(F.col("text")))
-    texts = cut(texts.groupBy("doc", "version").agg(F.first("text").alias("text")))
+    needed = pairs.select("doc", "part").union(pairs.select("hub", F.lit(0).cast("long"))).distinct()
+    texts = named.join(needed, ["doc", "part"]).withColumn("version", text_key(F.col("text")))
+    texts = cut(texts.groupBy("doc", "part", "version").agg(F.first("text").alias("text")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
@@ -231,7 +238,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     names = ["doc", "version", "first", "end", "first_byte", "end_byte", "hub", "hub_version", "hub_first", "hub_end", "hub_first_byte", "hub_end_byte"]
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4] * 2
     schema = ", ".join(f"{n} {'long' if t == pa.int64() else 'int'}" for n, t in zip(names, kinds))
-    with_text = pairs.join(texts, "doc").join(texts.select(F.col("doc").alias("hub"), F.col("version").alias("hub_version"), F.col("text").alias("hub_text")), "hub")
+    with_text = pairs.join(texts, ["doc", "part"]).join(texts.select(F.col("doc").alias("hub"), F.col("version").alias("hub_version"), F.col("text").alias("hub_text")), "hub")
     links = cut(with_text.select("doc", "version", "text", "hub", "hub_version", "hub_text", "diagonals").mapInArrow(verify, schema))
 
     sides = ["doc", "version", "first", "end", "first_byte", "end_byte"]
