@@ -109,6 +109,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def load_path(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows that were written to a folder, with the types they had."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Bytes of the files of a table, as Spark's own file index adds them up."""
     return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
