@@ -53,14 +53,31 @@ def claim(spark: SparkSession, path: str) -> None:
         raise ForeignTarget(f"{path} belongs to stream {owner[0] or 'without id'}, not to {stream or 'one without id'}")
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str] = ()) -> BatchSink:
+def claimed(path: str) -> Callable[[SparkSession], None]:
+    """``claim`` for a sink: a stream is looked up at its first batch only."""
+    known: set[str] = set()
+
+    def once(spark: SparkSession) -> None:
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        if stream not in known:
+            claim(spark, path)
+            known.add(stream)
+
+    return once
+
+
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str] = (), unique: bool = False) -> BatchSink:
     """Write each batch with one row per key; ``order`` decides which one.
 
-    Without an order the batch must have one row per key already, as update-mode aggregates have; one with more is refused.
+    Without an order the batch must have one row per key already; one with more is refused. ``unique`` leaves out that check,
+    for results that are grouped by these keys.
     """
+    bind = claimed(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        claim(batch.sparkSession, path)
+        bind(batch.sparkSession)
+        if unique:
+            return _write_batch(batch, path, batch_id)
         if order:
             return _write_batch(latest_per_key(batch, keys, order), path, batch_id)
         several_rows = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
@@ -108,10 +125,12 @@ def exactly_once_sink(path: str, commits: str, txn_id: str) -> BatchSink:
     to one stream: a stream with a new checkpoint is refused, as its batches would pass for committed ones.
     """
 
+    bind_rows, bind_commits = claimed(path), claimed(f"{commits}/{txn_id}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        claim(spark, path)
-        claim(spark, f"{commits}/{txn_id}")
+        bind_rows(spark)
+        bind_commits(spark)
         if not _commits(spark, commits, txn_id, f"batch={batch_id}").isEmpty():
             return
         _write_batch(batch, path, batch_id)

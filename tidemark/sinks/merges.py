@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import latest_per_key
-from tidemark.sinks.batches import BatchSink, _missing, _write_batch, claim
+from tidemark.sinks.batches import BatchSink, _missing, _write_batch, claimed
 
 GONE = "__gone"
 POINTER = "version long, through long"
@@ -20,9 +20,10 @@ def merge_changes_sink(path: str, keys: Sequence[str], order: Sequence[str], del
 
     ``order`` tells the latest change of a key, within a batch and over all batches, so changes that come late change nothing.
     """
+    bind = claimed(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        claim(batch.sparkSession, path)
+        bind(batch.sparkSession)
         _write_batch(latest_per_key(batch.withColumn(GONE, F.coalesce(deleted, F.lit(False))), keys, order), f"{path}/batches", batch_id)
 
     return write

@@ -28,10 +28,10 @@ def append_to_table(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def upsert_to_table(df: DataFrame, keys: Sequence[str], path: str | None = None) -> DataFrame:
-    """Run an update-mode stream into an upsert table and read its current rows."""
+    """Run an update-mode stream, grouped by ``keys``, into an upsert table and read its current rows."""
     spark = df.sparkSession
     path = path or fresh_dir(spark, "upserts")
-    drain(df, upsert_sink(path, keys), "update")
+    drain(df, upsert_sink(path, keys, unique=True), "update")
     return read_upserted(spark, path, keys, df.schema)
 
 
