@@ -97,7 +97,7 @@ def test_keep_runs_name_lines(spark):
 
 def licenses_by_hand(t):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
-    hits = [(k, p.label) for p in TEMPLATES if p.base for k in range(len(words)) if words[k : k + len(p.words.split())] == p.words.split()]
+    hits = [(k, p.label) for p in TEMPLATES if p.base for k in range(len(words)) if words[k : k + len(p.words)] == p.words]
     return len(words), len(hits), min((k for k, _ in hits), default=None), max((k for k, _ in hits), default=None), ",".join(sorted({x for _, x in hits}))
 
 
@@ -122,6 +122,39 @@ def test_license_spans_merge_diagonals(spark):
     assert [(r.doc, r.start, r.score >= 0.8) for r in rows] == [(0, 1, True)]
 
 
+def test_whole_license_texts(spark):
+    """Texts of more than 63 words, in prose, with words put in, left out and replaced, and the halves of two licenses."""
+    rng = random.Random(9)
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            at = rng.randrange(len(words))
+            rng.choice([lambda: words.insert(at, "inserted"), lambda: words.pop(at), lambda: words.__setitem__(at, "replaced")])()
+        return words
+
+    templates = [t for t in TEMPLATES if len(t.words) >= 63]
+    assert {t.label for t in templates} == {"mit", "isc", "bsd"}
+    texts, want = [], []
+    for t in templates:
+        for n in (0, 3, 8):
+            texts.append(" ".join([*prose(rng.randrange(99), 40), *edited(t.words, n), *prose(rng.randrange(99), 30)]))
+            want.append(t.label)
+        texts.append(" ".join([*t.words[: len(t.words) // 2], *prose(7, 200)]))
+        want.append(None)
+    texts += [f"{t.text}\n" * 2 for t in templates]
+    want += [t.label for t in templates]
+    long = {k for k, t in enumerate(TEMPLATES) if len(t.words) >= 63}
+    spans = collections.defaultdict(list)
+    for r in license_spans(frame(spark, texts)).where("template is not null").collect():
+        if r.template in long:
+            spans[r.doc].append((TEMPLATES[r.template].label, r.end - r.start, r.score))
+    for doc, label in enumerate(want):
+        assert {x for x, _, _ in spans[doc]} == ({label} if label else set()), doc
+        assert len(spans[doc]) == (2 if doc >= len(want) - len(templates) else 1 if label else 0)
+    assert all(0.8 <= score <= 1 for found in spans.values() for _, _, score in found)
+
+
 def url_by_hand(url, rules):
     if url is None or "://" not in url:
         return "", "", None, "allow"
