@@ -258,15 +258,6 @@ def test_rows_without_an_id_meet_their_own_hubs_only(spark):
     assert all(r.end_word - r.first_word == 80 for r in found if r.doc_id is None)
 
 
-def test_a_paragraph_that_stands_twice_in_the_hub(spark):
-    words = prose(77, 200)
-    line, passage = words[:30], words[30:90]
-    hub = [*line, *prose(78, 60), *line, *passage]
-    other = [*prose(79, 40), *line, *passage]
-    found = [r for r in repeated_passages(frame(spark, [" ".join(hub), " ".join(other)])).collect() if r.removed]
-    assert [(r.doc_id, r.end_word - r.first_word) for r in found] == [(1, 90)]
-
-
 def test_passage_groups_keep_one(spark):
     passage = prose(70, 60)
     texts = [text(prose(200 + k, 30 + k) + passage + prose(400 + k, 50)) for k in range(60)]

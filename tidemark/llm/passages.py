@@ -202,10 +202,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     # The smallest document is the hub. It has an id wherever a bucket has two documents, so it needs no part.
     keys = paragraphs.groupBy("key").agg(F.min("doc").alias("hub"), F.max("doc").alias("most")).where("hub < most").select("key", "hub")
     shared = cut(paragraphs.join(keys, "key"))
-    hubs = shared.where("doc = hub").groupBy("key").agg(F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
-    # Where the hub has a paragraph several times, its first and its last place are tried.
-    places = F.explode(F.array_distinct(F.array("first_pos", "last_pos"))).alias("hub_pos")
-    seeds = shared.where("doc <> hub").join(hubs, "key").select("doc", "part", "hub", "pos", places).groupBy("doc", "part", "hub", (F.col("pos") - F.col("hub_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds"))
+    hubs = shared.where("doc = hub").groupBy("key").agg(F.min("pos").alias("hub_pos"))
+    seeds = shared.where("doc <> hub").join(hubs, "key").groupBy("doc", "part", "hub", (F.col("pos") - F.col("hub_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds"))
     pairs = seeds.groupBy("doc", "part", "hub").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals"))
     pairs = cut(pairs)
     needed = pairs.select("doc", "part").union(pairs.select("hub", F.lit(0).cast("long"))).distinct()
