@@ -258,6 +258,37 @@ def test_rows_without_an_id_meet_their_own_hubs_only(spark):
     assert all(r.end_word - r.first_word == 80 for r in found if r.doc_id is None)
 
 
+@pytest.mark.parametrize("size", [50, 54, 60, 75])
+def test_passages_behind_a_fragment_are_found(spark, size):
+    """The smallest document of each three holds 49 words of a passage, which the other two share as a whole."""
+    rng, texts = random.Random(size), []
+    for k in range(60):
+        passage = prose(1000 + k, size)
+        at = rng.randrange(size - 48)
+        for words in (passage[at : at + 49], passage, passage):
+            texts.append(" ".join([*prose(rng.randrange(10**6), 30), *words, *prose(rng.randrange(10**6), 30)]))
+    found = collections.defaultdict(list)
+    for r in repeated_passages(frame(spark, texts)).where("removed").collect():
+        found[r.doc_id].append(r.end_word - r.first_word)
+    # Of 50 words there may be no paragraph within them, as begins are as far apart as words have it.
+    hits = [k for k in range(60) if max(found[3 * k + 2], default=0) >= size]
+    assert len(hits) >= (60 if size > 50 else 57)
+    assert not any(found[3 * k] for k in range(60))
+
+
+def test_groups_behind_one_fragment(spark):
+    """Boilerplate of 40 words that many share; some of them go on alike, at either end."""
+    line, texts = prose(5, 40), []
+    for k in range(30):
+        before, behind = prose(100 + k % 3, 15) if k % 2 else prose(5000 + k, 15), prose(200 + k % 5, 15)
+        texts.append(" ".join([*prose(7000 + k, 40), *before, *line, *(behind if k % 2 else prose(6000 + k, 15)), *prose(8000 + k, 40)]))
+    texts.insert(0, " ".join([*prose(1, 50), *line, *prose(2, 50)]))
+    removed = {r.doc_id for r in repeated_passages(frame(spark, texts)).where("removed").collect()}
+    odd = [k for k in range(30) if k % 2]
+    shares = {k: [j for j in odd if j < k and (j % 3 == k % 3 or j % 5 == k % 5)] for k in odd}
+    assert removed == {k + 1 for k in odd if shares[k]}
+
+
 def test_passage_groups_keep_one(spark):
     passage = prose(70, 60)
     texts = [text(prose(200 + k, 30 + k) + passage + prose(400 + k, 50)) for k in range(60)]

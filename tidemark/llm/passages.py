@@ -23,6 +23,8 @@ THRESHOLD = 0.8
 #: 0.8 two times in three, and a passage has several; paragraphs that share a short line seldom do.
 SIDE = 16
 BANDS, ROWS = 2, 2
+#: A paragraph's band is no shorter: a document that is in a bucket by less than a passage shares that many words at least.
+FRAGMENT = SIDE + WORDS
 #: Matching windows at most so many words apart belong to one passage.
 GAP = 10
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 64, size=(BANDS, ROWS), dtype=np.uint64)
@@ -112,13 +114,15 @@ def _chain(a: np.ndarray, b: np.ndarray, i: int, j: int) -> list[tuple[int, int,
     return found
 
 
-def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], least: int = MIN_WORDS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, int]]:
+def shared_passages(
+    a: np.ndarray, b: np.ndarray, diagonals: list[int], least: int = MIN_WORDS, threshold: float = THRESHOLD, short: list[tuple[int, int, int]] | None = None
+) -> list[tuple[int, int, int, int]]:
     """Passages of a that b has too: (first, end) in a and in b. Each has a run on one of the diagonals, so many words earlier in b.
 
     A passage starts and ends with five equal words, has no more than GAP words between matching windows, at least `least`
     words in a and in b, and shingles of a Jaccard similarity of threshold or more with its counterpart; so equal runs
     always count. Where words were put in or left out it goes on at another diagonal, at most GAP words away, whether that
-    one is among diagonals or not.
+    one is among diagonals or not. short gets (first, end, diagonal) of the runs of FRAGMENT words or more that are in none.
     """
     if min(len(a), len(b)) < max(least, WORDS):
         return []
@@ -135,6 +139,8 @@ def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], least: i
             firsts.update((i, i - j) for i, j, _ in runs)
             lasts.update((i + n - 1, i - j) for i, j, n in runs)
             if runs[-1][0] + runs[-1][2] + WORDS - 1 - runs[0][0] < least:
+                if short is not None and last - first + WORDS >= FRAGMENT:
+                    short.append((first, last + WORDS, diagonal))
                 continue
             own, other = (np.concatenate([np.arange(r[side], r[side] + r[2]) for r in runs]) for side in (0, 1))
             steps = np.maximum(np.diff(own), np.diff(other))
@@ -170,6 +176,16 @@ def _merged(spans: DataFrame) -> DataFrame:
     return marked.withColumn("number", F.sum("new").over(order)).withColumn("passage", F.xxhash64("doc", "version", "removed", "number"))
 
 
+def _fragment_pairs(fragments: DataFrame) -> DataFrame:
+    """(doc, version, hub, hub_version, diagonals) of members that a hub's fragment and the word beside it bring together."""
+    near = lambda side, end, word: F.struct(F.lit(side).alias("side"), F.col(end).alias("hub_at"), F.col(word).alias("word"), F.col(side).alias("at"))
+    beside = fragments.select("doc", "version", "hub", "hub_version", F.explode(F.array(near("first", "hub_first", "before"), near("end", "hub_end", "behind"))).alias("n"))
+    keyed = beside.where("n.word <> 0").select("doc", "version", "n.at", F.xxhash64("hub", "hub_version", "n.side", "n.hub_at", "n.word").alias("key"))
+    least = keyed.groupBy("key").agg(F.min(F.struct("doc", "version", "at")).alias("least"), F.max("doc").alias("most")).where("least.doc < most")
+    met = keyed.join(least.select("key", F.col("least.doc").alias("hub"), F.col("least.version").alias("hub_version"), F.col("least.at").alias("hub_at")), "key").where("doc <> hub")
+    return met.groupBy("doc", "version", "hub", "hub_version").agg(F.sort_array(F.collect_set(F.col("at") - F.col("hub_at"))).alias("diagonals"))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per passage that several documents share: doc_id, version, removed, first_word, end_word, first_byte, end_byte, cluster_id, n_docs.
 
@@ -180,8 +196,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     Null, empty and short texts have no passages, nor do repeated rows among themselves: rows of one doc_id are one
     document here, and so are rows without one. Documents that share nothing have no row.
 
-    Paragraphs meet in buckets of their MinHash bands. All members of a bucket are linked with its smallest document, so
-    that a passage of a third of all documents makes one row for each of them. Runs are then verified in the texts.
+    Paragraphs meet in buckets of their MinHash bands. All members of a bucket are compared with its smallest document, so
+    that a passage of a third of all documents makes one row for each of them. Runs are then verified in the texts. Where
+    that document holds a fragment only, too short for a passage, others may share more: two that do agree on the word
+    behind the fragment or before it, so members meet again by fragment and that word, with the smallest of them. Each such
+    round has longer fragments, so there are fewer than min_words of them, and mostly one or two.
     """
     # Rows without an id are one document of many texts; part tells these apart, so that each meets its own hubs only.
     part = F.when(F.col("doc_id").isNull(), text_key(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long"))
@@ -226,18 +245,35 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
                     other = known[1]
                     begin, shift = int(words.begins[k]), int(words.text_begins[k])
                     own = words.hashes[begin : words.begins[k + 1]]
-                    for first, end, low, high in shared_passages(own, other.hashes, diagonals[at + k], min_words, threshold):
+                    short: list[tuple[int, int, int]] = []
+                    for first, end, low, high in shared_passages(own, other.hashes, diagonals[at + k], min_words, threshold, short):
                         out.append((
                             *doc_names[at + k], first, end, int(words.first[begin + first]) - shift, int(words.stop[begin + end - 1]) - shift,
-                            *hub, low, high, int(other.first[low]), int(other.stop[high - 1]),
+                            *hub, low, high, int(other.first[low]), int(other.stop[high - 1]), False, 0, 0,
                         ))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 12, kinds)], names=names)
-
-    names = ["doc", "version", "first", "end", "first_byte", "end_byte", "hub", "hub_version", "hub_first", "hub_end", "hub_first_byte", "hub_end_byte"]
-    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4] * 2
-    schema = ", ".join(f"{n} {'long' if t == pa.int64() else 'int'}" for n, t in zip(names, kinds))
-    with_text = pairs.join(texts, ["doc", "part"]).join(texts.select(F.col("doc").alias("hub"), F.col("version").alias("hub_version"), F.col("text").alias("hub_text")), "hub")
-    links = cut(with_text.select("doc", "version", "text", "hub", "hub_version", "hub_text", "diagonals").mapInArrow(verify, schema))
+                    signed = own.view(np.int64)
+                    for first, end, diagonal in short:
+                        before, behind = int(signed[first - 1]) if first else 0, int(signed[end]) if end < len(own) else 0
+                        out.append((*doc_names[at + k], first, end, 0, 0, *hub, first - diagonal, end - diagonal, 0, 0, True, before, behind))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names=names)
+
+    names = ["doc", "version", "first", "end", "first_byte", "end_byte", "hub", "hub_version", "hub_first", "hub_end", "hub_first_byte", "hub_end_byte", "fragment", "before", "behind"]
+    kinds = [*[pa.int64(), pa.int64(), *[pa.int32()] * 4] * 2, pa.bool_(), pa.int64(), pa.int64()]
+    spelled = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean"}
+    schema = ", ".join(f"{n} {spelled[t]}" for n, t in zip(names, kinds))
+    hub_texts = texts.select(F.col("doc").alias("hub"), F.col("version").alias("hub_version"), F.col("text").alias("hub_text"))
+
+    def verified(with_text: DataFrame) -> DataFrame:
+        return cut(with_text.select("doc", "version", "text", "hub", "hub_version", "hub_text", "diagonals").mapInArrow(verify, schema))
+
+    told = verified(pairs.join(texts, ["doc", "part"]).join(hub_texts, "hub"))
+    links = told.where("NOT fragment").drop("fragment", "before", "behind")
+    while True:
+        again = cut(_fragment_pairs(told.where("fragment")))
+        if again.isEmpty():
+            break
+        told = verified(again.join(texts, ["doc", "version"]).join(hub_texts, ["hub", "hub_version"]))
+        links = links.unionByName(told.where("NOT fragment").drop("fragment", "before", "behind"))
 
     sides = ["doc", "version", "first", "end", "first_byte", "end_byte"]
     taken = links.select(*sides, F.lit(True).alias("removed"))
