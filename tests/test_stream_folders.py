@@ -15,7 +15,7 @@ from tidemark.operators.windows import evict_count
 from tidemark.plans import REPORTS, SQL, registry
 from tidemark.runtime import fresh_dir
 from tidemark.sinks import batches
-from tidemark.sources.readers import load, load_stream
+from tidemark.sources.readers import load, load_stream, stored_bytes
 from tidemark.streaming import processors as ps
 from tidemark.streaming import runs
 
@@ -75,6 +75,31 @@ def test_a_folder_is_read_in_several_batches(spark, folder):
     assert len([n for n in seen if n]) == FILES and sum(seen) == load(spark, SMALL, "events").count()
 
 
+def test_jobs_follow_the_bytes_and_not_the_files(spark, tmp_path, monkeypatch):
+    """A table in 30 files is read as it is where it fits one micro-batch, else in as many parallel copies as there are of these."""
+    load(spark, SMALL, "events").repartition(30).write.parquet(f"{tmp_path}/events.parquet")
+    tables = registry.Tables(spark, str(tmp_path))
+    size = stored_bytes(tables("events"))
+
+    def jobs(batch_bytes):
+        monkeypatch.setattr(registry, "BATCH_BYTES", batch_bytes)
+        name = f"group-{batch_bytes}"
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            stream = registry.Tables(spark, str(tmp_path)).stream("events")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return stream, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    whole, few = jobs(size), jobs(-(-size // 3))
+    assert whole[1] <= 3 and few[1] <= 3 + 3 * 4
+    seen = []
+    runs.drain(few[0], lambda batch, batch_id: seen.append((batch.count(), batch.agg(F.min("ts"), F.max("ts")).first())))
+    seen = [(n, *bounds) for n, bounds in seen if n]
+    assert len(seen) == 3 and sum(n for n, _, _ in seen) == tables("events").count()
+    assert all(a[2] <= b[1] for a, b in zip(seen, seen[1:]))
+
+
 def test_a_missing_table_is_an_error(spark, folder):
     with pytest.raises(AnalysisException):
         load_stream(spark, folder, "nothing")

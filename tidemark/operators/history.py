@@ -8,8 +8,8 @@ and joined back. Short histories have one slice and behave like a plain window.
 Slice boundaries are rows picked by a hash of their own content, about one in
 ``rows_per_slice``, so every re-computation and every retry picks the same ones.
 Their number, and thus the size of both broadcast tables, stays near
-``max_boundaries`` whatever the input size: the pick rate is derived from the row
-count.
+``max_boundaries`` whatever the input size: more picked rows than that are thinned
+by their own number, so the input is not counted first.
 """
 
 from __future__ import annotations
@@ -91,23 +91,24 @@ def slice_history(
     rows_per_slice: int = ROWS_PER_SLICE,
     max_boundaries: int = MAX_BOUNDARIES,
     sample: DataFrame | None = None,
-    total: Column | None = None,
 ) -> DataFrame:
     """Number the slices of every key's history; adds two internal columns.
 
     ``order`` should be a total order within a key. Equal rows share a slice. If ``df``
     is costly to compute, pass a cheaper ``sample`` with about the same ``keys`` and
-    ``order`` to take the boundaries from: any boundaries give the same result. ``total``
-    is the number of its rows, or a number not far above it, if that is known.
+    ``order`` to take the boundaries from: any boundaries give the same result.
     """
     sample = df if sample is None else sample
-    total = sample.select(F.count(F.lit(1))).scalar() if total is None else total
-    rate = F.greatest(F.lit(rows_per_slice).cast("long"), F.floor(total / max_boundaries))
+    draw = F.xxhash64(*keys, *order)
+    rate = F.lit(rows_per_slice).cast("long")
     renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)] or [F.lit(1).alias("__k0")]
     names = [f"__k{i}" for i in range(len(renamed))]
+    picked = sample.where(F.pmod(draw, rate) == 0).select(*renamed, F.struct(*order).alias("__point"), draw.alias("__draw")).distinct()
+    # One row in a million at most is counted here.
+    thinned = F.ceil(F.count(F.lit(1)).over(Window.partitionBy()) / F.lit(max_boundaries)).cast("long")
     splits = (
-        sample.where(F.pmod(F.xxhash64(*keys, *order), rate) == 0)
-        .select(*renamed, F.struct(*order).alias("__point"))
+        picked.withColumn("__keep", thinned)
+        .where(F.pmod(F.floor(F.col("__draw") / rate), F.col("__keep")) == 0)
         .groupBy(*names)
         .agg(F.array_sort(F.collect_set("__point")).alias("__all"))
     )
