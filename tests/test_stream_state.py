@@ -2,9 +2,11 @@
 
 import os
 import random
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -221,3 +223,28 @@ def test_counts_over_a_range_write_only_their_own_stretches(spark):
     assert rows(found.select("id", "cnt")) == sorted(want, key=repr)
     # Stretches are a 64th of the span; those of a sixth of the time are written, not all that are held.
     assert all(s["numRowsUpdated"] <= 45 for s in state if s["numRowsTotal"])
+
+
+# --- lifetime of state -----------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ttl_ms, again", [(1500, True), (3_600_000, False)])
+def test_expired_values_are_not_returned(spark, ttl_ms, again):
+    path, seen = fresh_dir(spark, "rows"), []
+    write = lambda part: spark.createDataFrame(part, "k long, at long").coalesce(1).write.mode("append").parquet(path)
+    write([(1, 10)])
+    stream = spark.readStream.schema("k long, at long").parquet(path)
+    out = ps.keyed(stream, ["k"], ps.FirstSeen(["at"], ttl_ms=ttl_ms), stream.schema, time_mode="ProcessingTime")
+    writer = out.writeStream.foreachBatch(lambda batch, _: seen.extend(tuple(r) for r in batch.collect())).trigger(processingTime="0 seconds")
+    query = writer.option("checkpointLocation", fresh_dir(spark, "c")).start()
+    try:
+        for part, n in ((None, 1), ([(1, 20), (2, 21)], 3 if again else 2)):
+            if part:
+                time.sleep(2.5)
+                write(part)
+            end = time.time() + 60
+            while time.time() < end and query.isActive and len(seen) < n:
+                time.sleep(0.2)
+    finally:
+        query.stop()
+    assert sorted(seen) == sorted([(1, 10), (2, 21), *([(1, 20)] if again else [])])
