@@ -25,6 +25,26 @@ def as_times(values) -> pd.Series:
     return pd.Series(pd.to_datetime(np.array(values, "int64"), unit="us"))
 
 
+class OneTimer:
+    """One pending timer of a key, at the earliest time that anything is due; what is due is done together."""
+
+    def __init__(self, handle):
+        self.handle = handle
+        self.pending = handle.getValueState("pending", "at long")
+
+    def no_later_than(self, at: int) -> None:
+        if not self.pending.exists() or at < self.pending.get()[0]:
+            self.handle.registerTimer(int(at))
+            self.pending.update((int(at),))
+
+    def fired(self, next_at: int | None) -> None:
+        if next_at is None:
+            self.pending.clear()
+        else:
+            self.handle.registerTimer(int(next_at))
+            self.pending.update((int(next_at),))
+
+
 class ClosingSessions(StatefulProcessor):
     """Sessions of a key, rows at most ``gap`` apart, each given out once, when no row in time can reach it any more.
 
@@ -36,8 +56,9 @@ class ClosingSessions(StatefulProcessor):
         self.key, self.ts, self.gap, self.column, self.numbers = key, ts, micros(gap), column, Numbers(kind)
 
     def init(self, handle: object) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "start long", f"last long, cnt long, total {self.numbers.kind}")
+        # Open sessions lie within the watermark's delay and a gap, so a key has few of them.
+        self.open = handle.getListState("open", f"start long, last long, cnt long, total {self.numbers.kind}")
+        self.timer = OneTimer(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         whole = pd.concat(list(rows), ignore_index=True).sort_values(self.ts, kind="stable", ignore_index=True)
@@ -49,7 +70,7 @@ class ClosingSessions(StatefulProcessor):
         new = [
             (int(at[a]), int(at[b - 1]), int(b - a), self.numbers.plain(sums[b] - sums[a]) if seen[b] > seen[a] else None) for a, b in zip(begins, ends)
         ]
-        held = [(k[0], *v) for k, v in self.open.iterator()] if self.open.exists() else []
+        held = [tuple(s) for s in self.open.get()] if self.open.exists() else []
         merged: list[tuple] = []
         for session in sorted(held + new, key=lambda s: s[:2]):
             if merged and session[0] <= merged[-1][1] + self.gap:
@@ -58,19 +79,24 @@ class ClosingSessions(StatefulProcessor):
                 merged[-1] = (start, max(last, session[1]), cnt + session[2], both)
             else:
                 merged.append(session)
-        for start in {s[0] for s in held} - {s[0] for s in merged}:
-            self.open.removeKey((start,))
-        for session in set(merged) - set(held):
-            self.open.updateValue((session[0],), session[1:])
-            self.handle.registerTimer((session[1] + self.gap) // 1000 + 1)
+        self.open.put(merged)
+        self.timer.no_later_than(min(self._due(s) for s in merged))
         yield self._shown(key, [])
 
+    def _due(self, session: tuple) -> int:
+        return (session[1] + self.gap) // 1000 + 1
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         reached = timerValues.getCurrentWatermarkInMs() * 1000
-        over = [(k[0], *v) for k, v in self.open.iterator() if v[0] + self.gap < reached] if self.open.exists() else []
-        for session in over:
-            self.open.removeKey((session[0],))
-        yield self._shown(key, sorted(over))
+        held = [tuple(s) for s in self.open.get()] if self.open.exists() else []
+        over, left = [s for s in held if s[1] + self.gap < reached], [s for s in held if s[1] + self.gap >= reached]
+        if left:
+            self.open.put(left)
+        else:
+            self.open.clear()
+        # A timer of now may be asked for again, so one is due after the watermark in any case.
+        self.timer.fired(max(min(self._due(s) for s in left), reached // 1000 + 1) if left else None)
+        yield self._shown(key, sorted(over, key=lambda s: s[:2]))
 
     def _shown(self, key, sessions: list[tuple]) -> pd.DataFrame:
         start, last, cnt, total = ([s[k] for s in sessions] for k in range(4))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.functions.times import micros
-from tidemark.streaming.event_time import as_micros, as_times
+from tidemark.streaming.event_time import OneTimer, as_micros, as_times
 from tidemark.streaming.processors import Numbers, in_order, keyed
 
 #: The only window of a key where none is given, and the end of it.
@@ -82,24 +82,39 @@ class TriggeredWindows(StatefulProcessor):
         self.trigger, self.numbers = trigger, Numbers(kind)
 
     def init(self, handle) -> None:
-        self.handle = handle
-        # since: rows after the last firing by count; added: whether rows came after the last firing of any kind.
-        self.windows = handle.getMapState("windows", "start long", f"cnt long, total {self.numbers.kind}, since long, added boolean")
+        # since: rows after the last firing by count; added: whether rows came after the last firing of any kind. A key has few
+        # open windows.
+        self.windows = handle.getListState("windows", f"start long, cnt long, total {self.numbers.kind}, since long, added boolean")
+        self.timer = OneTimer(handle)
+
+    def _held(self) -> dict[int, tuple]:
+        return {w[0]: tuple(w[1:]) for w in self.windows.get()} if self.windows.exists() else {}
+
+    def _keep(self, held: dict[int, tuple]) -> None:
+        if held:
+            self.windows.put([(start, *w) for start, w in held.items()])
+        else:
+            self.windows.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         whole = in_order(rows, self.order)
         at = as_micros(whole[self.ts])
         starts = at // self.size * self.size if self.size else np.full(len(at), EVER)
         values, there = self.numbers.read(whole[self.column])
-        fired = []
+        fired, held = [], self._held()
         for start in np.unique(starts).tolist():
             own = np.flatnonzero(starts == start)
-            fired += self._add(start, values[own], there[own])
-            self._set_timers(start, at[own], timerValues)
+            fired += self._add(held, start, values[own], there[own])
+        self._keep(held)
+        if self.trigger.clock:
+            if not self.timer.pending.exists():
+                self.timer.no_later_than(timerValues.getCurrentProcessingTimeInMs() + micros(self.trigger.clock) // 1000)
+        elif (due := self._due(held, int(at.min()) // 1000)) is not None:
+            self.timer.no_later_than(due)
         yield self._shown(key, fired)
 
-    def _add(self, start: int, values: np.ndarray, there: np.ndarray) -> list[tuple]:
-        cnt, total, since, added = self.windows.getValue((start,)) if self.windows.containsKey((start,)) else (0, None, 0, False)
+    def _add(self, held: dict[int, tuple], start: int, values: np.ndarray, there: np.ndarray) -> list[tuple]:
+        cnt, total, since, added = held.get(start, (0, None, 0, False))
         n, rows = len(values), self.trigger.rows
         sums, seen = self.numbers.sums(values), np.concatenate([[0], np.cumsum(there)])
         # Rows of this batch behind which the window fires, counted from 1.
@@ -109,43 +124,42 @@ class TriggeredWindows(StatefulProcessor):
         for k, (low, high) in enumerate(zip(begins.tolist(), at.tolist())):
             carried = k == 0 or not self.trigger.purge
             part = self.numbers.plain(sums[high] - sums[low]) if seen[high] > seen[low] else None
-            held = total if carried else None
-            both = held if part is None else part if held is None else held + part
+            before = total if carried else None
+            both = before if part is None else part if before is None else before + part
             fired.append((start, high - low + (cnt if carried else 0), both, "count"))
         low = int(at[-1]) if len(at) and self.trigger.purge else 0
         cnt, total = (0, None) if low else (cnt, total)
         part = self.numbers.plain(sums[n] - sums[low]) if seen[n] > seen[low] else None
         total = total if part is None else part if total is None else total + part
         since = (since + n) % rows if rows else 0
-        self.windows.updateValue((start,), (int(cnt + n - low), total, int(since), not (len(at) and at[-1] == n)))
+        held[start] = (int(cnt + n - low), total, int(since), bool(added or not (len(at) and at[-1] == n)))
         return fired
 
-    def _set_timers(self, start: int, at: np.ndarray, timerValues) -> None:
-        if self.trigger.clock:
-            if not list(self.handle.listTimers()):
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + micros(self.trigger.clock) // 1000)
-            return
-        if self.size and (self.trigger.end or self.trigger.every):
-            self.handle.registerTimer((start + self.size) // 1000)
+    def _due(self, held: dict[int, tuple], after: int) -> int | None:
+        """The earliest millisecond at which a window ends, or a mark behind ``after`` finds new rows."""
+        due = [(start + self.size) // 1000 for start in held] if self.size and (self.trigger.end or self.trigger.every) else []
         if self.trigger.every:
             step = micros(self.trigger.every) // 1000
-            for mark in np.unique((at // 1000 // step + 1) * step).tolist():
-                self.handle.registerTimer(mark)
+            due += [(max(start // 1000, after) // step + 1) * step for start, w in held.items() if w[3]]
+        return min(due) if due else None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark, fired = expiredTimerInfo.getExpiryTimeInMs(), []
-        for (start,), (cnt, total, since, added) in list(self.windows.iterator()) if self.windows.exists() else []:
-            over = self.size is not None and not self.trigger.clock and (start + self.size) // 1000 <= mark
+        clock = self.trigger.clock
+        reached = expiredTimerInfo.getExpiryTimeInMs() if clock else timerValues.getCurrentWatermarkInMs()
+        fired, held = [], self._held()
+        for start, (cnt, total, since, added) in sorted(held.items()):
+            over = self.size is not None and not clock and (start + self.size) // 1000 <= reached
             by_end = over and self.trigger.end
-            by_time = (self.trigger.clock or self.trigger.every) and added and (self.size is None or start // 1000 < mark)
+            by_time = (clock or self.trigger.every) and added and (clock or start // 1000 < reached)
             if cnt and (by_end or by_time):
                 fired.append((start, cnt, total, "end" if by_end else "time"))
-                if self.trigger.purge:
-                    cnt, total = 0, None
-                added = False
-                self.windows.updateValue((start,), (cnt, total, since, added))
+                held[start] = (0, None, since, False) if self.trigger.purge else (cnt, total, since, False)
             if over:
-                self.windows.removeKey((start,))
+                del held[start]
+        self._keep(held)
+        # A window with new rows sets the clock again; of event time, what is due next is behind the watermark.
+        due = None if clock else self._due(held, reached)
+        self.timer.fired(None if due is None else max(due, reached + 1))
         yield self._shown(key, fired)
 
     def _shown(self, key, fired: list[tuple]) -> pd.DataFrame:
