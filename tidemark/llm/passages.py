@@ -27,6 +27,7 @@ BANDS, ROWS = 2, 2
 FRAGMENT = SIDE + WORDS
 #: Matching windows at most so many words apart belong to one passage.
 GAP = 10
+_BESIDE = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, size=1 << 12, dtype=np.int64) | 1
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 64, size=(BANDS, ROWS), dtype=np.uint64)
 
 
@@ -177,7 +178,7 @@ def _merged(spans: DataFrame) -> DataFrame:
 
 
 def _fragment_pairs(fragments: DataFrame) -> DataFrame:
-    """(doc, version, hub, hub_version, diagonals) of members that a hub's fragment and the word beside it bring together."""
+    """(doc, version, hub, hub_version, diagonals) of members that a hub's fragment and the words beside it bring together."""
     near = lambda side, end, word: F.struct(F.lit(side).alias("side"), F.col(end).alias("hub_at"), F.col(word).alias("word"), F.col(side).alias("at"))
     beside = fragments.select("doc", "version", "hub", "hub_version", F.explode(F.array(near("first", "hub_first", "before"), near("end", "hub_end", "behind"))).alias("n"))
     keyed = beside.where("n.word <> 0").select("doc", "version", "n.at", F.xxhash64("hub", "hub_version", "n.side", "n.hub_at", "n.word").alias("key"))
@@ -198,9 +199,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
 
     Paragraphs meet in buckets of their MinHash bands. All members of a bucket are compared with its smallest document, so
     that a passage of a third of all documents makes one row for each of them. Runs are then verified in the texts. Where
-    that document holds a fragment only, too short for a passage, others may share more: two that do agree on the word
-    behind the fragment or before it, so members meet again by fragment and that word, with the smallest of them. Each such
-    round has longer fragments, so there are fewer than min_words of them, and mostly one or two.
+    that document holds a fragment only, too short for a passage, others may share more: two that do agree on half of the
+    missing words behind the fragment or before it, so members meet again by fragment and those words, with the smallest of
+    them. Each such round halves what is missing. Members whose fragments of one document differ in length are not brought
+    together by this.
     """
     # Rows without an id are one document of many texts; part tells these apart, so that each meets its own hubs only.
     part = F.when(F.col("doc_id").isNull(), text_key(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long"))
@@ -253,7 +255,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
                         ))
                     signed = own.view(np.int64)
                     for first, end, diagonal in short:
-                        before, behind = int(signed[first - 1]) if first else 0, int(signed[end]) if end < len(own) else 0
+                        # Of the words that a passage has besides the fragment, half stand on one side of it.
+                        n = -(-(min_words - (end - first)) // 2)
+                        before, behind = (
+                            int(signed[low:high] @ _BESIDE[:n]) if 0 <= low and high <= len(own) else 0 for low, high in ((first - n, first), (end, end + n))
+                        )
                         out.append((*doc_names[at + k], first, end, 0, 0, *hub, first - diagonal, end - diagonal, 0, 0, True, before, behind))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names=names)
 
