@@ -15,6 +15,10 @@ from tidemark.operators.history import (
     _ONE, _SLICE, _SPLITS, lowest, previous_row, prefix_scan, slice_history,
 )
 from tidemark.operators.joins import rule_join
+from tidemark.runtime import cut_lineage
+
+#: Changes of rules in one span of the order; more if there are more rules.
+CHANGES_PER_SPAN = 32
 
 
 class Machine:
@@ -175,15 +179,37 @@ def changing_rule_match(items: DataFrame, changes: DataFrame, keys: Sequence[str
 
     ``changes`` has the order's columns too; a change at the place of an item comes before it. A version is in force until the
     next one of its rule. Items stay stored when their rule changes.
+
+    The order is cut into spans of about as many changes as there are rules, ``CHANGES_PER_SPAN`` at least, and a version goes
+    to each span it is in force in. So an item meets the versions of its own span only, and the copies of versions are about
+    as many as the changes.
     """
     begins = F.struct(*[F.col(c) for c in order])
+    kept = cut_lineage(changes.select(*order, rule, first, second), "changes")
     until = F.lead(begins).over(Window.partitionBy(rule).orderBy(*order))
-    versions = changes.select(rule, first, second, begins.alias("__from"), until.alias("__until"))
-    kinds = versions.withColumn("__kind", F.explode(F.array_distinct(F.array(first, second))))
-    at = F.struct(*[items[c] for c in order])
-    in_force = (items[field] == kinds["__kind"]) & (kinds["__from"] <= at) & (kinds["__until"].isNull() | (at < kinds["__until"]))
-    tagged = items.join(kinds, in_force).withColumns({"is_first": F.col(field) == F.col(first), "is_second": F.col(field) == F.col(second)})
-    return _next_second(tagged.drop(first, second, "__from", "__until", "__kind"), [*keys, rule], order, field, **slicing)
+    span = {"rows_per_slice": max(CHANGES_PER_SPAN, kept.select(rule).distinct().count()), "sample": kept.select(*order)}
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        return slice_history(df, [], order, **span).withColumnRenamed(_SLICE, name).drop(_SPLITS, _ONE)
+
+    started = placed(kept.withColumns({"__until": until, "__from": begins}), "__first_span").select(
+        rule, first, second, "__from", "__until", "__first_span", *[F.col(f"__until.{c}").alias(c) for c in order]
+    )
+    versions = placed(started, "__last_span").drop(*order)
+    # The last version of a rule stays in force; the number of the last span is that of a place behind all changes.
+    last = kept.agg(F.max(begins).alias("__end")).select(*[F.col(f"__end.{c}").alias(c) for c in order])
+    last = placed(last, "__end_span").select("__end_span")
+    upto = F.when(F.col("__until").isNull(), F.col("__end_span")).otherwise(F.col("__last_span"))
+    spread = versions.crossJoin(F.broadcast(last)).withColumn("__span", F.explode(F.sequence("__first_span", upto))).drop("__first_span", "__last_span", "__end_span")
+    kinds = spread.withColumn("__kind", F.explode(F.array_distinct(F.array(first, second))))
+    found = placed(items, "__span")
+    at = F.struct(*[found[c] for c in order])
+    in_force = (found["__span"] == kinds["__span"]) & (found[field] == kinds["__kind"])
+    in_force = in_force & (kinds["__from"] <= at) & (kinds["__until"].isNull() | (at < kinds["__until"]))
+    tagged = found.join(kinds, in_force).withColumns({"is_first": F.col(field) == F.col(first), "is_second": F.col(field) == F.col(second)})
+    tagged = tagged.select(*items.columns, rule, "is_first", "is_second")
+    # Read by the choice of slices, by their totals and by the scan.
+    return _next_second(cut_lineage(tagged, "tagged"), [*keys, rule], order, field, **slicing)
 
 
 def running_length(df: DataFrame, keys: Sequence[str], text: str, order: Sequence[str], name: str = "total_length", **slicing) -> DataFrame:
