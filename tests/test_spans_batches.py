@@ -1,11 +1,14 @@
 """Work that follows the rows: versions of rules by spans of the order, windows handed over in batches, counts without a shuffle."""
 
 import random
+from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
+
 from conftest import rows
 from test_stream_state import expected_matches
-from tidemark.operators import patterns
+from tidemark.operators import aggs, patterns
 
 DAY = datetime(2024, 3, 1)
 
@@ -26,3 +29,26 @@ def test_an_item_meets_the_versions_of_its_span_only(spark, monkeypatch):
     assert got == sorted(expected_matches(data, one["u"]) + expected_matches(data, one["others"]), key=repr)
     join = kept["tagged"]._jdf.queryExecution().optimizedPlan().toString()
     assert "__span" in next(line for line in join.splitlines() if "Join Inner" in line and "__kind" in line)
+
+
+def test_windows_come_in_batches(spark):
+    rng = random.Random(5)
+    data = [(rng.choice([1, 2, None, 2**60 + 1]), DAY + timedelta(minutes=rng.randrange(600)), rng.choice([None, 2**60 + 3, 5])) for _ in range(200)]
+    df = spark.createDataFrame(data, "u long, ts timestamp_ntz, v long")
+
+    def told(key, part):
+        times = part.column("ts").to_numpy(zero_copy_only=False)
+        assert (np.diff(times) >= np.timedelta64(0)).all() and isinstance(key[1], datetime)
+        return [(key[0], key[1], part.num_rows, sum(v or 0 for v in part.column("v").to_pylist()))] * (part.num_rows > 1)
+
+    schema = "u long, start timestamp_ntz, n long, total decimal(38,0)"
+    want = defaultdict(list)
+    for u, ts, v in data:
+        want[u, ts.replace(minute=0)].append(v or 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = rows(aggs.apply_window(df, ["u"], "ts", "1 hour", told, schema, ["v"], batched=True))
+        assert got == sorted([(u, s, len(v), sum(v)) for (u, s), v in want.items() if len(v) > 1], key=repr)
+        assert aggs.apply_window(df.limit(0), ["u"], "ts", "1 hour", told, schema, ["v"], batched=True).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -6,9 +6,11 @@ that holds a large share of the rows sends one partial row per task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,21 +111,49 @@ def max_by_row(df: DataFrame, keys: Sequence[str], column: str, order: Sequence[
     return df.withColumn("__rank", F.row_number().over(best)).where(F.col("__rank") <= 1).drop("__rank")
 
 
-def apply_window(df: DataFrame, keys: Sequence[str], ts: str, size: str, function: Callable[[tuple, pd.DataFrame], pd.DataFrame], schema: str, columns: Sequence[str] = ()) -> DataFrame:
+def apply_window(df: DataFrame, keys: Sequence[str], ts: str, size: str, function: Callable, schema: str, columns: Sequence[str] = (), batched: bool = False) -> DataFrame:
     """A caller's function over the rows of each key and window, in the order of their times.
 
     It gets the key values, the bounds of the window, and the window's ``ts`` and ``columns`` as a pandas table, and returns a
-    table of ``schema``. As a function may look at all rows, those of one key and window are in one task's memory at a time;
-    what aggregates can say is better said with ``window_summary`` or ``global_window_agg``.
+    table of ``schema``. A table for each window costs milliseconds. With ``batched`` the function gets a slice of an Arrow
+    batch instead, and returns a list of tuples; Spark then sorts the windows and hands over many of them at a time. As a
+    function may look at all rows, those of one key and window are in one task's memory at a time; what aggregates can say is
+    better said with ``window_summary`` or ``global_window_agg``.
     """
     placed = df.select(*keys, ts, *columns, F.window(ts, size).alias("window")).select(
         *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), ts, *columns
     )
+    ids = [*keys, "window_start", "window_end"]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return function(key, rows[[ts, *columns]].sort_values(ts, kind="stable", ignore_index=True))
 
-    return placed.groupBy(*keys, "window_start", "window_end").applyInPandas(run, schema)
+    if not batched:
+        return placed.groupBy(*ids).applyInPandas(run, schema)
+    kinds = df.sparkSession.createDataFrame([], schema).toArrow().schema
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(kinds)], schema=kinds)
+
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+        for batch in batches:
+            begins = np.flatnonzero(batch.column(len(ids)).to_numpy(zero_copy_only=False))
+            found = list(zip(*(batch.column(k).take(pa.array(begins)).to_pylist() for k in range(len(ids)))))
+            rows, out = batch.select(list(range(len(ids) + 1, batch.num_columns))), []
+            bounds = [0, *begins.tolist(), len(rows)]
+            # What comes before the first begin belongs to the window that is still open.
+            parts.append(rows.slice(0, bounds[1]))
+            for key, low, high in zip(found, bounds[1:], bounds[2:]):
+                if held is not None:
+                    out += function(held, parts[0] if len(parts) == 1 else pa.concat_batches(parts))
+                held, parts = key, [rows.slice(low, high - low)]
+            yield told(out)
+        if held is not None:
+            yield told(function(held, pa.concat_batches(parts)))
+
+    starts = F.row_number().over(Window.partitionBy(*ids).orderBy(ts)) == 1
+    return placed.select(*ids, starts.alias("__starts"), ts, *columns).mapInArrow(run_batches, schema)
 
 
 def window_summary(df: DataFrame, keys: Sequence[str], ts: str, size: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Reports on grouped, distinct, running and ranked aggregates."""
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import text_bar
@@ -149,12 +149,12 @@ def longest_pauses(t):
     """The longest time without an event of a user's day, by a function over the sorted times."""
 
     def pauses(key, rows):
-        times = rows["ts"].astype("datetime64[us]").astype("int64")
-        longest = int(times.diff().max()) if len(times) > 1 else 0
-        return pd.DataFrame({"user_id": pd.Series([key[0]], dtype="Int64"), "window_start": [key[1]], "cnt": [len(times)], "longest_us": [longest]})
+        times = rows.column("ts").to_numpy(zero_copy_only=False).astype("datetime64[us]").astype("int64")
+        longest = int(np.diff(times).max()) if len(times) > 1 else 0
+        return [(key[0], key[1], len(times), longest)]
 
     schema = "user_id long, window_start timestamp_ntz, cnt long, longest_us long"
-    return aggs.apply_window(t("events"), ["user_id"], "ts", "1 day", pauses, schema)
+    return aggs.apply_window(t("events"), ["user_id"], "ts", "1 day", pauses, schema, batched=True)
 
 
 @report(
