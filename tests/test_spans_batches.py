@@ -5,10 +5,13 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 
 from conftest import rows
 from test_stream_state import expected_matches
+from tidemark.functions.text import counted_items
 from tidemark.operators import aggs, patterns
+from tidemark.streaming import controls, event_time, triggers
 
 DAY = datetime(2024, 3, 1)
 
@@ -52,3 +55,10 @@ def test_windows_come_in_batches(spark):
         assert aggs.apply_window(df.limit(0), ["u"], "ts", "1 hour", told, schema, ["v"], batched=True).collect() == []
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_items_are_counted_in_their_row(spark):
+    df = spark.createDataFrame([(1, ["b", "a", None, "b"]), (None, ["a"]), (2, []), (3, None), (1, [None, None])], "id long, words array<string>")
+    out = counted_items(df, "words", "word", "times")
+    assert rows(out) == sorted([(1, "a", 1), (1, "b", 2), (1, None, 1), (None, "a", 1), (1, None, 2)], key=repr)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()

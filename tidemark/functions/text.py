@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"\w+"
@@ -20,6 +20,18 @@ def first_items(items: Column, n: int) -> Column:
     return F.slice(items, 1, n)
 
 
+def counted_items(df: DataFrame, items: str, name: str, times: str) -> DataFrame:
+    """A row for each distinct item of a row's array, with the number of its places there; nothing is shuffled."""
+    rest = [c for c in df.columns if c != items]
+    ordered = df.select(*rest, F.sort_array(items).alias("__items")).where(F.size("__items") > 0)
+    at = F.col("__items")
+    opens = F.filter(F.sequence(F.lit(0), F.size(at) - 1), lambda i: (i == 0) | ~F.get(at, i).eqNullSafe(F.get(at, i - 1)))
+    marked = ordered.withColumn("__opens", opens)
+    until = lambda k: F.coalesce(F.get("__opens", k + 1), F.size("__items"))
+    runs = F.transform("__opens", lambda i, k: F.struct(F.get("__items", i).alias(name), (until(k) - i).cast("long").alias(times)))
+    return marked.select(*rest, F.inline(runs))
+
+
 def size_then_items(items: Column) -> Column:
     """Sort key for arrays: shorter first, then item by item."""
     return F.struct(F.size(items).alias("size"), items.alias("items"))

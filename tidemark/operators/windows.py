@@ -148,21 +148,21 @@ def _firings(panes: DataFrame, keys: Sequence[str], pane: int, size: int, slide:
 def count_window_slide_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str], times: str, size: int, slide: int, folds: Mapping[str, Fold], **slicing) -> DataFrame:
     """``count_window_slide`` over rows that each stand for ``times`` equal rows in a row.
 
-    A running sum of ``times`` tells which rows of its key a row stands for, and arithmetic which panes these fall in, so the
-    repeated rows are never made, shuffled or sorted. Sums count a row as often as it stands in a pane. Rows with ``times``
-    below 1 stand for none.
+    A running sum of ``times`` tells which rows of its key a row stands for, and arithmetic which firings look at these, so the
+    repeated rows are never made, shuffled or sorted; what is shuffled is one row per firing and task. Sums count a row as
+    often as it stands in a window. Rows with ``times`` below 1 stand for none.
     """
-    pane = gcd(size, slide)
     there = df.where(F.col(times) >= 1)
     placed = prefix_scan(there, keys, order, {"__upto": running(F.col(times).cast("long"))}, **slicing)
     from_row = F.col("__upto") - F.col(times) + 1
-    number = lambda row: F.ceil(row / pane).cast("long")
-    spread = placed.withColumn("__pane", F.explode(F.sequence(number(from_row), number(F.col("__upto")))))
-    last = F.least(F.col("__upto"), F.col("__pane") * pane)
-    inside = last - F.greatest(from_row, (F.col("__pane") - 1) * pane + 1) + 1
+    first = F.ceil(from_row / slide).cast("long") * slide
+    last = F.floor((F.col("__upto") + (size - 1)) / slide).cast("long") * slide
+    spread = placed.where(first <= last).withColumn("at_row", F.explode(F.sequence(first, last, F.lit(slide).cast("long"))))
+    inside = F.least(F.col("__upto"), F.col("at_row")) - F.greatest(from_row, F.col("at_row") - (size - 1)) + 1
     counted = [_MERGE[f.kind](f.column * inside if f.kind == "sum" else f.column).alias(n) for n, f in folds.items()]
-    panes = spread.groupBy(*keys, "__pane").agg(F.max(last).alias("__rn"), *counted)
-    return _firings(panes, keys, pane, size, slide, folds)
+    # A firing whose last row is not there yet does not fire.
+    out = spread.groupBy(*keys, "at_row").agg(F.max("__upto").alias("__upto"), *counted)
+    return out.where(F.col("__upto") >= F.col("at_row")).drop("__upto")
 
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, folds: Mapping[str, Fold], **slicing) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import counted_items
 from tidemark.operators import aggs, watermarks, windows
 from tidemark.operators.history import highest, lowest, running
 from tidemark.plans.aggregates import K, one, with_k
@@ -82,8 +83,8 @@ def user_sessions(t):
 )
 def word_count_windows(t):
     """A document holds a token so many times in a row, as the order of the rows is that of documents."""
-    words = t("documents").select("doc_id", F.explode(F.split(F.lower("text"), r"\W+")).alias("token")).where("token <> ''")
-    counted = cut_lineage(words.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("times")), "counts")
+    words = t("documents").select("doc_id", F.split(F.lower("text"), r"\W+").alias("words"))
+    counted = cut_lineage(counted_items(words, "words", "token", "times").where("token <> ''"), "counts")
     folds = {"n": running(one()), "doc_sum": running("doc_id")}
     return windows.count_window_slide_repeated(counted, ["token"], ["doc_id"], "times", 10, 5, folds)
 
