@@ -62,3 +62,48 @@ def test_items_are_counted_in_their_row(spark):
     out = counted_items(df, "words", "word", "times")
     assert rows(out) == sorted([(1, "a", 1), (1, "b", 2), (1, None, 1), (None, "a", 1), (1, None, 2)], key=repr)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_markers_that_say_nothing_are_not_held(monkeypatch):
+    rng = random.Random(6)
+    at, ts = list(range(4000)), [DAY + timedelta(minutes=rng.randrange(9000)) for _ in range(4000)]
+    whole = pd.DataFrame({"at": at, "ts": ts, "is_control": [rng.random() < 0.7 for _ in at]}).sample(frac=1, random_state=1)
+    whole["ts"] = whole["ts"].where(whole["at"] % 11 > 0)
+    monkeypatch.setattr(controls, "FEW_CONTROL", 50)
+    held = []
+
+    class Marks(controls.MarkedTime):
+        def step(self, items, control):
+            held.append(len(control))
+            return super().step(items, control)
+
+    marked = Marks(["at"], "ts")
+    marked.init(Handle())
+    got = next(marked.handleInputRows(("0",), (whole[k : k + 300] for k in range(0, 4000, 300)), None))
+    marks = whole.sort_values("at")
+    highest = marks["ts"].where(marks["is_control"]).cummax().ffill()[~marks["is_control"]]
+    assert got["watermark"].reset_index(drop=True).equals(highest.reset_index(drop=True).astype(got["watermark"].dtype)) and held[0] < 700
+
+
+class Handle:
+    """State of one key in a list, with a count of the calls."""
+
+    def __init__(self):
+        self.calls, self.rows, self.timers = 0, [], []
+
+    def getListState(self, *_):
+        return self
+
+    getValueState = getListState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls += 1
+            if name in ("put", "update", "clear"):
+                self.rows = list(given[0]) if given else []
+            return bool(self.rows) if name == "exists" else iter(self.rows) if name == "get" else None
+
+        return call

@@ -22,6 +22,8 @@ from tidemark.streaming.processors import Numbers, keyed
 BUCKETS = 32
 #: Items in one entry of a list in state, so that a longer list is never written again as a whole.
 CHUNK = 256
+#: Control rows of a batch that a task holds before it drops those that say nothing.
+FEW_CONTROL = 1 << 16
 
 
 def with_control(items: DataFrame, control: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
@@ -50,11 +52,24 @@ class Controlled(StatefulProcessor):
         self.order = list(order)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        whole = pd.concat(list(rows), ignore_index=True)
+        parts, control, least = [], [], 0
+        for batch in rows:
+            marks = batch["is_control"].to_numpy(bool)
+            parts.append(batch[~marks])
+            control.append(self.condensed(batch[marks]))
+            if sum(map(len, control)) > 2 * least + FEW_CONTROL:
+                control = [self.condensed(pd.concat(control, ignore_index=True))]
+                least = len(control[0])
+        whole = pd.concat([*parts, *control], ignore_index=True)
+        del parts, control
         whole = whole.sort_values([*self.order, "is_control"], ascending=[*[True] * len(self.order), False], kind="stable", ignore_index=True)
         marks = whole["is_control"].to_numpy(bool)
         yield self.step(whole[~marks], whole[marks])
 
+    def condensed(self, control: pd.DataFrame) -> pd.DataFrame:
+        """The control rows, in any order, without those that say nothing beside the others."""
+        return control
+
     def step(self, items: pd.DataFrame, control: pd.DataFrame) -> pd.DataFrame:
         """The index of both frames tells the places."""
         raise NotImplementedError
@@ -201,6 +216,13 @@ class MarkedTime(Controlled):
     def init(self, handle):
         self.highest = handle.getValueState("highest", "at long")
 
+    def condensed(self, control):
+        """Markers that raise the watermark; each marker is in every bucket, so what a task holds must not grow with all of them."""
+        ordered = control.sort_values(self.order, kind="stable", ignore_index=True)
+        marks = ordered[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
+        before = np.maximum.accumulate(np.concatenate([[np.iinfo("int64").min], marks]))[:-1]
+        return ordered[marks > before]
+
     def step(self, items, control):
         start = self.highest.get()[0] if self.highest.exists() else np.iinfo("int64").min
         marks = control[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
