@@ -107,3 +107,16 @@ class Handle:
             return bool(self.rows) if name == "exists" else iter(self.rows) if name == "get" else None
 
         return call
+
+
+def test_a_key_reads_and_writes_its_state_once_a_batch():
+    times = [DAY + timedelta(hours=4 * k) for k in range(3)]
+    frame = pd.DataFrame({"u": 1, "ts": times, "id": range(3), "v": range(3)})
+    trigger = triggers.either(triggers.count(3), triggers.at_end())
+    for processor in (event_time.ClosingSessions("u", "ts", "3 hours", "v"), triggers.TriggeredWindows("u", "ts", ["ts", "id"], "v", "1 day", trigger)):
+        handle = Handle()
+        processor.init(handle)
+        for batch in (frame, frame.assign(ts=frame["ts"] + timedelta(days=1))):
+            handle.calls = 0
+            list(processor.handleInputRows((1,), iter([batch]), None))
+            assert handle.calls == 2 and len(handle.timers) == 1

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.functions.times import day_label, micros, ten_minute_label
-from tidemark.streaming.processors import Numbers, keyed
+from tidemark.streaming.processors import Numbers, in_order, keyed
 
 #: Below so many keys a map in state is asked key by key, above it is read as a whole.
 FEW_KEYS = 64
@@ -25,26 +25,6 @@ def as_times(values) -> pd.Series:
     return pd.Series(pd.to_datetime(np.array(values, "int64"), unit="us"))
 
 
-class OneTimer:
-    """One pending timer of a key, at the earliest time that anything is due; what is due is done together."""
-
-    def __init__(self, handle):
-        self.handle = handle
-        self.pending = handle.getValueState("pending", "at long")
-
-    def no_later_than(self, at: int) -> None:
-        if not self.pending.exists() or at < self.pending.get()[0]:
-            self.handle.registerTimer(int(at))
-            self.pending.update((int(at),))
-
-    def fired(self, next_at: int | None) -> None:
-        if next_at is None:
-            self.pending.clear()
-        else:
-            self.handle.registerTimer(int(next_at))
-            self.pending.update((int(next_at),))
-
-
 class ClosingSessions(StatefulProcessor):
     """Sessions of a key, rows at most ``gap`` apart, each given out once, when no row in time can reach it any more.
 
@@ -56,12 +36,20 @@ class ClosingSessions(StatefulProcessor):
         self.key, self.ts, self.gap, self.column, self.numbers = key, ts, micros(gap), column, Numbers(kind)
 
     def init(self, handle: object) -> None:
-        # Open sessions lie within the watermark's delay and a gap, so a key has few of them.
-        self.open = handle.getListState("open", f"start long, last long, cnt long, total {self.numbers.kind}")
-        self.timer = OneTimer(handle)
+        # Open sessions lie within the watermark's delay and a gap, so a key has few of them. Each tells when the key's one timer
+        # is pending, so that the state of a key is read and written in one call each.
+        self.handle = handle
+        self.open = handle.getListState("open", f"start long, last long, cnt long, total {self.numbers.kind}, pending long")
+
+    def _keep(self, sessions: list[tuple], pending: int | None, earliest: int) -> None:
+        due = max(min(self._due(s) for s in sessions), earliest)
+        if pending is None or due < pending:
+            self.handle.registerTimer(int(due))
+            pending = due
+        self.open.put([(*s, int(pending)) for s in sessions])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        whole = pd.concat(list(rows), ignore_index=True).sort_values(self.ts, kind="stable", ignore_index=True)
+        whole = in_order(rows, [self.ts])
         at = as_micros(whole[self.ts])
         values, there = self.numbers.read(whole[self.column])
         begins = np.flatnonzero(np.diff(at, prepend=at[0] - self.gap - 1) > self.gap)
@@ -70,33 +58,32 @@ class ClosingSessions(StatefulProcessor):
         new = [
             (int(at[a]), int(at[b - 1]), int(b - a), self.numbers.plain(sums[b] - sums[a]) if seen[b] > seen[a] else None) for a, b in zip(begins, ends)
         ]
-        held = [tuple(s) for s in self.open.get()] if self.open.exists() else []
+        held = [tuple(s) for s in self.open.get()]
         merged: list[tuple] = []
-        for session in sorted(held + new, key=lambda s: s[:2]):
+        for session in sorted([s[:4] for s in held] + new, key=lambda s: s[:2]):
             if merged and session[0] <= merged[-1][1] + self.gap:
                 start, last, cnt, total = merged[-1]
                 both = session[3] if total is None else total if session[3] is None else total + session[3]
                 merged[-1] = (start, max(last, session[1]), cnt + session[2], both)
             else:
                 merged.append(session)
-        self.open.put(merged)
-        self.timer.no_later_than(min(self._due(s) for s in merged))
-        yield self._shown(key, [])
+        self._keep(merged, held[0][4] if held else None, 0)
+        yield from ()
 
     def _due(self, session: tuple) -> int:
         return (session[1] + self.gap) // 1000 + 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         reached = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(s) for s in self.open.get()] if self.open.exists() else []
+        held = [tuple(s)[:4] for s in self.open.get()]
         over, left = [s for s in held if s[1] + self.gap < reached], [s for s in held if s[1] + self.gap >= reached]
         if left:
-            self.open.put(left)
+            # A timer of now may be asked for again, so one is due after the watermark in any case.
+            self._keep(left, None, reached // 1000 + 1)
         else:
             self.open.clear()
-        # A timer of now may be asked for again, so one is due after the watermark in any case.
-        self.timer.fired(max(min(self._due(s) for s in left), reached // 1000 + 1) if left else None)
-        yield self._shown(key, sorted(over, key=lambda s: s[:2]))
+        if over:
+            yield self._shown(key, sorted(over, key=lambda s: s[:2]))
 
     def _shown(self, key, sessions: list[tuple]) -> pd.DataFrame:
         start, last, cnt, total = ([s[k] for s in sessions] for k in range(4))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.functions.times import micros
-from tidemark.streaming.event_time import OneTimer, as_micros, as_times
+from tidemark.streaming.event_time import as_micros, as_times
 from tidemark.streaming.processors import Numbers, in_order, keyed
 
 #: The only window of a key where none is given, and the end of it.
@@ -83,16 +83,22 @@ class TriggeredWindows(StatefulProcessor):
 
     def init(self, handle) -> None:
         # since: rows after the last firing by count; added: whether rows came after the last firing of any kind. A key has few
-        # open windows.
-        self.windows = handle.getListState("windows", f"start long, cnt long, total {self.numbers.kind}, since long, added boolean")
-        self.timer = OneTimer(handle)
-
-    def _held(self) -> dict[int, tuple]:
-        return {w[0]: tuple(w[1:]) for w in self.windows.get()} if self.windows.exists() else {}
-
-    def _keep(self, held: dict[int, tuple]) -> None:
+        # open windows. Each tells when the key's one timer is pending, so that the state of a key is read and written in one call
+        # each.
+        self.handle = handle
+        self.windows = handle.getListState("windows", f"start long, cnt long, total {self.numbers.kind}, since long, added boolean, pending long")
+
+    def _held(self) -> tuple[dict[int, tuple], int | None]:
+        """The windows, and the time of the pending timer."""
+        rows = [tuple(w) for w in self.windows.get()]
+        return {w[0]: w[1:-1] for w in rows}, rows[0][-1] if rows else None
+
+    def _keep(self, held: dict[int, tuple], pending: int | None, due: int | None) -> None:
+        if due is not None and (pending is None or due < pending):
+            self.handle.registerTimer(int(due))
+            pending = int(due)
         if held:
-            self.windows.put([(start, *w) for start, w in held.items()])
+            self.windows.put([(start, *w, pending) for start, w in held.items()])
         else:
             self.windows.clear()
 
@@ -101,17 +107,19 @@ class TriggeredWindows(StatefulProcessor):
         at = as_micros(whole[self.ts])
         starts = at // self.size * self.size if self.size else np.full(len(at), EVER)
         values, there = self.numbers.read(whole[self.column])
-        fired, held = [], self._held()
+        fired, (held, pending) = [], self._held()
         for start in np.unique(starts).tolist():
             own = np.flatnonzero(starts == start)
             fired += self._add(held, start, values[own], there[own])
-        self._keep(held)
-        if self.trigger.clock:
-            if not self.timer.pending.exists():
-                self.timer.no_later_than(timerValues.getCurrentProcessingTimeInMs() + micros(self.trigger.clock) // 1000)
-        elif (due := self._due(held, int(at.min()) // 1000)) is not None:
-            self.timer.no_later_than(due)
-        yield self._shown(key, fired)
+        if not self.trigger.clock:
+            due = self._due(held, int(at.min()) // 1000)
+        elif pending is None:
+            due = timerValues.getCurrentProcessingTimeInMs() + micros(self.trigger.clock) // 1000
+        else:
+            due = None
+        self._keep(held, pending, due)
+        if fired:
+            yield self._shown(key, fired)
 
     def _add(self, held: dict[int, tuple], start: int, values: np.ndarray, there: np.ndarray) -> list[tuple]:
         cnt, total, since, added = held.get(start, (0, None, 0, False))
@@ -146,7 +154,7 @@ class TriggeredWindows(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         clock = self.trigger.clock
         reached = expiredTimerInfo.getExpiryTimeInMs() if clock else timerValues.getCurrentWatermarkInMs()
-        fired, held = [], self._held()
+        fired, (held, _) = [], self._held()
         for start, (cnt, total, since, added) in sorted(held.items()):
             over = self.size is not None and not clock and (start + self.size) // 1000 <= reached
             by_end = over and self.trigger.end
@@ -156,11 +164,11 @@ class TriggeredWindows(StatefulProcessor):
                 held[start] = (0, None, since, False) if self.trigger.purge else (cnt, total, since, False)
             if over:
                 del held[start]
-        self._keep(held)
         # A window with new rows sets the clock again; of event time, what is due next is behind the watermark.
         due = None if clock else self._due(held, reached)
-        self.timer.fired(None if due is None else max(due, reached + 1))
-        yield self._shown(key, fired)
+        self._keep(held, None, None if due is None else max(due, reached + 1))
+        if fired:
+            yield self._shown(key, fired)
 
     def _shown(self, key, fired: list[tuple]) -> pd.DataFrame:
         start, cnt, total, cause = ([f[k] for f in fired] for k in range(4))
