@@ -42,7 +42,9 @@ def widened(df: DataFrame, **columns: str) -> StructType:
 
 
 def in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    parts = list(rows)
+    whole = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return whole.sort_values(list(order), kind="stable", ignore_index=True)
 
 
 class Ordered(StatefulProcessor):
@@ -62,7 +64,10 @@ class Ordered(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield self.step(key, in_order(rows, self.order))
+        # A call of the state and a table are dear for a key with few rows, so neither is made in vain.
+        out = self.step(key, in_order(rows, self.order))
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass
@@ -124,7 +129,7 @@ class RunningTotal(Ordered):
 
     def step(self, key, rows):
         values, there = self.numbers.read(rows[self.column])
-        before = self.total.get()[0] if self.total.exists() else None
+        before = (self.total.get() or (None,))[0]
         sums = self.numbers.sums(values, before)
         totals, known = sums[1:], np.maximum.accumulate(there) | (before is not None)
         if self.reset and (resets := rows[self.reset].fillna(False).astype(bool).to_numpy()).any():
@@ -287,7 +292,8 @@ class SequenceMatch(Ordered):
         self.waiting = self.items(handle, "waiting", "item long")
 
     def step(self, key, rows):
-        waiting = [i[0] for i in self.waiting.get()] if self.waiting.exists() else []
+        waiting = [i[0] for i in self.waiting.get()]
+        held = len(waiting)
         items = rows[self.item].to_numpy()
         firsts = np.flatnonzero(rows["is_first"].fillna(False).to_numpy(dtype=bool))
         seconds = np.flatnonzero(rows["is_second"].fillna(False).to_numpy(dtype=bool))
@@ -297,10 +303,11 @@ class SequenceMatch(Ordered):
         pairs = [(w, items[seconds[0]]) for w in waiting] if len(seconds) else []
         pairs += list(zip(items[firsts[matched]], items[seconds[next_one[matched]]]))
         waiting = ([] if len(seconds) else waiting) + [int(i) for i in items[firsts[~matched]]]
-        if waiting:
-            self.waiting.put([(w,) for w in waiting])
-        else:
-            self.waiting.clear()
+        if len(waiting) > held or len(seconds):
+            if waiting:
+                self.waiting.put([(w,) for w in waiting])
+            elif held:
+                self.waiting.clear()
         out = pd.DataFrame(pairs, columns=["first_id", "second_id"], dtype="int64")
         names = [c for c in rows.columns if c in self.key_columns]
         return out.assign(**{c: rows[c].iloc[0] for c in names})[[*names, "first_id", "second_id"]]
@@ -329,8 +336,9 @@ class DeltaTrigger(Ordered):
         self.recent = self.items(handle, "recent", "at long, best double, item long")
 
     def step(self, key, rows):
-        base = self.base.get()[0] if self.base.exists() else None
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        base = (self.base.get() or (None,))[0]
+        before = base
+        recent = [tuple(r) for r in self.recent.get()] if base is not None else []
         at = rows[self.ts].astype("datetime64[us]").astype("int64").tolist()
         fired, tops = [], []
         for i, (now, value, best, item) in enumerate(zip(at, rows[self.measure], rows[self.best], rows[self.item])):
@@ -345,7 +353,8 @@ class DeltaTrigger(Ordered):
                 recent = [r for r in recent if r[0] >= now - self.keep]
                 fired.append(i)
                 tops.append(recent[0])
-        self.base.update((float(base),))
+        if base != before:
+            self.base.update((float(base),))
         self.recent.put([r for r in recent if r[0] >= at[-1] - self.keep])
         out = rows.iloc[fired]
         return out.assign(top_best=[t[1] for t in tops], top_item=np.array([t[2] for t in tops], "int64"))
