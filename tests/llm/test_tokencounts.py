@@ -1,13 +1,14 @@
 """Token counts against the library over whole texts."""
 
 import random
+import re
 
 import pytest
 from tests.llm.helpers import AWKWARD, frame, prose, text
 
 from tidemark.llm.pieces import read_model
 from tidemark.llm.queries import token_path
-from tidemark.llm.tokencounts import boundaries, count_tokens, cut_text, margin
+from tidemark.llm.tokencounts import LETTERS, WHITE, PartCounts, boundaries, count_tokens, cut_text, margin, marks_of, middle
 
 PARTS = ["<|endoftext|>", "<|endof", "|>", "'", "'re", "don't", " ", "   ", "\n", "\n \t ", "héé", "日本語の", "🙂", "x" * 30, " 12345", "!?", "...", "　", "á", " The", "{}"]
 
@@ -89,3 +90,79 @@ def test_empty_table(spark, model):
 def test_too_small_overlaps_are_refused(spark, model):
     with pytest.raises(ValueError):
         count_tokens(frame(spark, ["a"]), model, step=100, overlap=20)
+
+
+class Recorder:
+    """The library's tokenizer, with the characters that it was given."""
+
+    def __init__(self, library):
+        self.library, self.given = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.library.encode_batch_fast(texts, **options)
+
+
+ODD = PARTS + ["\x85", "\u2028", "\x1c", "\u200b", "e\u0301", "д", "²", ".", ",", "'S", "ß;", "\xa0", "w.", "<|endoftext|>.", "?a"]
+
+
+def test_counts_of_parts_add_up_to_those_of_whole_texts(model, library):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(ODD) for _ in range(rng.randrange(50))) for _ in range(6000)] + ["", " "]
+    counter = PartCounts(library, marks_of(model))
+    assert [n for k in range(0, len(texts), 500) for n in counter(texts[k : k + 500])] == [len(library.encode(t, add_special_tokens=False)) for t in texts]
+    assert counter([]) == []
+
+
+def test_words_met_before_are_not_encoded_again(model, library):
+    rng = random.Random(2)
+    words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(200)) for _ in range(100)]
+    recorder = Recorder(library)
+    counter = PartCounts(recorder, marks_of(model))
+    assert [n for t in texts for n in counter([t])] == [len(library.encode(t)) for t in texts]
+    assert recorder.given < 0.05 * sum(map(len, texts))
+
+
+def test_counts_are_kept_for_few_and_short_parts(monkeypatch, model, library):
+    monkeypatch.setattr("tidemark.llm.tokencounts.KEPT", 50)
+    counter = PartCounts(library, marks_of(model))
+    texts = [f"w{k % 70} " + "x" * k for k in range(200)] * 2
+    assert [n for t in texts for n in counter([t])] == [len(library.encode(t)) for t in texts]
+    assert max(map(len, [*counter.kept, *counter.before])) <= 64 and len(counter.kept) <= 53 and len(counter.before) <= 53
+
+
+def test_white_space_and_letters_are_those_of_the_library(library):
+    cut = library.pre_tokenizer.pre_tokenize_str
+    white, letters = re.compile(f"[{WHITE}]"), re.compile(f"[{LETTERS}]")
+    for k in [*range(0xD800), *range(0xE000, 0x11000)]:
+        alone = all(len(cut(x + chr(k))) > 1 for x in "a1!")
+        assert alone == bool(white.match(chr(k))), hex(k)
+        if letters.match(chr(k)):
+            assert len(cut("a" + chr(k))) == 1, hex(k)
+
+
+def test_special_strings_forbid_cuts_inside_them(model, library):
+    from tokenizers import AddedToken, Tokenizer
+
+    for special, marks in (("<a.b>", ",;:!?"), ("two words", None), ("!a", ".,;:?")):
+        other = Tokenizer.from_str(model)
+        other.add_special_tokens([AddedToken(special, normalized=False)])
+        assert marks_of(other.to_str()) == marks
+        texts = [f"some {special}. and {special}{special}, a{special} b", special]
+        assert PartCounts(other, marks)(texts) == [len(other.encode(t)) for t in texts]
+
+
+def test_the_middle_of_a_chunk_lies_between_gaps_outside_its_ends():
+    for seed in range(200):
+        whole = noise(seed, 60)
+        raw = whole.encode()
+        for overlap, behind in ((20, len(raw)), (30, len(raw[: len(raw) - 30].decode(errors="ignore").encode()))):
+            a, z = middle(whole, raw, overlap, behind)
+            assert a <= z <= len(whole)
+            if a < len(whole):
+                assert overlap <= len(whole[:a].encode()) and len(whole[:z].encode()) <= behind
+                assert all(re.match(f"[^{WHITE}][{WHITE}]", whole[k - 1 :]) for k in (a, z))
+    assert middle("x" * 90, b"x" * 90, 10, 80) == (90, 90)
+    far = "a" * 50 + " b" + "c" * 900
+    assert middle(far, far.encode(), 10, 900) == (50, 50)

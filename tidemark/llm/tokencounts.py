@@ -5,13 +5,20 @@ itself. Where a pre-token ends, nothing before that place matters to what follow
 whose start is right is right up to a margin before its end, as a cut can only change what looks at the missing characters: a
 contraction, a run of spaces or a special string. So a place where a pre-token of the chunk before (outside the margin) and one
 of the chunk behind both begin is a boundary of the whole text, and the chunk behind is right from there on.
+
+Within a text or chunk, some boundaries show without the library: a run of white space begins a pre-token, and so does a
+punctuation mark behind a letter, as no pre-token goes on from other characters to these. What is before such a place doesn't
+look behind it. So counts are added up over parts between such places, and the library encodes a part that a worker met lately
+only once. Where tokens begin is asked of the library for the ends that a chunk shares with others, not for what is between.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +36,24 @@ WIDER = 8
 BATCH = 1 << 20
 #: Characters that a cut may hide from the pattern of pre-tokens: the rest of a contraction, the one behind a run of spaces.
 HIDDEN = 3
+#: What the pattern of pre-tokens takes as white space; letters and punctuation that are such in every version of Unicode.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af"
+MARKS = ".,;:!?"
+#: Where white space begins behind something else.
+GAP = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
+#: Characters before the end of a chunk's middle that are searched first for a gap.
+NEAR = 256
+#: Parts whose counts a worker keeps, once and again for those before, and the length of the longest of them.
+KEPT, LONGEST = 1 << 18, 64
+#: Parts that are encoded at a time.
+PARTS = 1 << 13
 
 CHUNKS = "key string, k long, begin long, next_begin long, last boolean, text string"
 ENCODED = "key string, k long, total long, head_at array<long>, head_n array<long>, tail_at array<long>, tail_n array<long>"
 
 _tokenizers: dict[int, object] = {}
+_counters: dict[tuple[int, str | None], PartCounts] = {}
 
 
 def _tokenizer(model: str):
@@ -61,6 +81,69 @@ def margin(model: str) -> int | None:
     return HIDDEN + max((len(t["content"]) for t in spec["added_tokens"]), default=0)
 
 
+def marks_of(model: str) -> str | None:
+    """Punctuation before which a text may be cut, behind a letter; None if parts of a text can't be counted by themselves."""
+    if margin(model) is None:
+        return None
+    special = "".join(t["content"] for t in json.loads(model)["added_tokens"])
+    return None if re.search(f"[{WHITE}]", special) else "".join(m for m in MARKS if m not in special)
+
+
+class PartCounts:
+    """Numbers of tokens of texts. With marks they are added up over parts, and the counts of short parts met lately are kept."""
+
+    def __init__(self, tokenizer, marks: str | None):
+        self.tokenizer, self.marks = tokenizer, marks
+        word = f"[{WHITE}]*+[{LETTERS}]++(?![^{WHITE}{marks}])"
+        self.parts = re.compile(f"{word}|[{WHITE}]*+[^{WHITE}]++|[{WHITE}]++")
+        self.kept: dict[str, int] = {}
+        self.before: dict[str, int] = {}
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        if self.marks is None:
+            return self._encoded(texts)
+        found = [self.parts.findall(t) for t in texts]
+        parts = list(chain.from_iterable(found))
+        counts = np.fromiter(map(self.kept.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(counts < 0)
+        names = [parts[k] for k in missing.tolist()]
+        new = {part: self.before.get(part, -1) for part in names}
+        unseen = [part for part, n in new.items() if n < 0]
+        for begin in range(0, len(unseen), PARTS):
+            some = unseen[begin : begin + PARTS]
+            new.update(zip(some, self._encoded(some)))
+        counts[missing] = [new[part] for part in names]
+        self.kept.update(x for x in new.items() if len(x[0]) <= LONGEST)
+        if len(self.kept) > KEPT:
+            self.kept, self.before = {}, self.kept
+        sums = np.concatenate(([0], np.cumsum(counts)))
+        return np.diff(sums[np.cumsum([0] + [len(f) for f in found])]).tolist()
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _counter(model: str, marks: str | None) -> PartCounts:
+    """One counter for each model in a worker, so that counts are kept from task to task."""
+    key = hash(model), marks
+    if key not in _counters:
+        _counters[key] = PartCounts(_tokenizer(model), marks)
+    return _counters[key]
+
+
+def middle(text: str, raw: bytes, overlap: int, behind: int) -> tuple[int, int]:
+    """First and last gap of a text, in characters, from byte overlap to byte behind; twice its end if there is none."""
+    low, high = len(raw[:overlap].decode(errors="ignore")) + 1, len(raw[:behind].decode(errors="ignore"))
+    first = GAP.search(text, low, high + 1)
+    if first is None:
+        return len(text), len(text)
+    for begin in (max(first.start(), high - NEAR), first.start()):
+        last = [gap.start() for gap in GAP.finditer(text, begin, high + 1)]
+        if last:
+            break
+    return first.start(), last[-1]
+
+
 def cut_text(text: bytes, step: int, overlap: int) -> Iterator[tuple[int, int]]:
     """Begin and end of the chunks of a text in bytes, none inside a character; the last one ends with the text."""
 
@@ -106,24 +189,31 @@ def _chunks_of(long: DataFrame, step: int, overlap: int) -> DataFrame:
     return long.select("key", "text").mapInArrow(run, CHUNKS)
 
 
-def _encode_chunks(parts: DataFrame, model, hidden: int, overlap: int) -> DataFrame:
+def _encode_chunks(parts: DataFrame, model, hidden: int, marks: str | None, overlap: int) -> DataFrame:
     """For each chunk its tokens, and the boundaries in what it shares with the chunks beside it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(model.value)
+        tokenizer, counter = _tokenizer(model.value), _counter(model.value, marks)
         for batch in batches:
             places = batch.select(["begin", "next_begin", "last"]).to_pydict()
             out: dict[str, list] = {n: [] for n in ("total", "head_at", "head_n", "tail_at", "tail_n")}
             for start, texts in chunks(batch.column("text"), BATCH):
-                for j, e in enumerate(tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)):
-                    text, begin = texts[j], places["begin"][start + j]
-                    at, before = boundaries(e, text)
-                    at = at + begin
-                    proven = begin + len(text) if places["last"][start + j] else begin + len(text.decode()[:-hidden].encode())
-                    head, tail = at < begin + overlap, (at >= places["next_begin"][start + j]) & (at <= proven)
+                whole = [t.decode() for t in texts]
+                first, behind = places["begin"][start : start + len(texts)], places["next_begin"][start : start + len(texts)]
+                inner = [(len(t), len(t)) if marks is None else middle(t, raw, overlap, n - b) for t, raw, b, n in zip(whole, texts, first, behind)]
+                between = counter([t[a:z] for t, (a, z) in zip(whole, inner)])
+                ends = [x for t, (a, z) in zip(whole, inner) for x in (t[:a], t[z:])]
+                encoded = tokenizer.encode_batch(ends, add_special_tokens=False)
+                for j, text in enumerate(texts):
+                    left, right = (boundaries(encoded[k], ends[k].encode()) for k in (2 * j, 2 * j + 1))
+                    inside = len(encoded[2 * j]) + between[j]
+                    at = np.concatenate((left[0], right[0] + len(text) - len(ends[2 * j + 1].encode()))) + first[j]
+                    before = np.concatenate((left[1], right[1] + inside))
+                    proven = first[j] + (len(text) if places["last"][start + j] else len(whole[j][:-hidden].encode()))
+                    head, tail = at < first[j] + overlap, (at >= behind[j]) & (at <= proven)
                     for name, values in (("head_at", at[head]), ("head_n", before[head]), ("tail_at", at[tail]), ("tail_n", before[tail])):
                         out[name].append(values)
-                    out["total"].append(len(e))
+                    out["total"].append(inside + len(encoded[2 * j + 1]))
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "k": batch.column("k")} | out)
 
     return parts.mapInArrow(run, ENCODED)
@@ -144,13 +234,13 @@ def _spliced(encoded: DataFrame) -> DataFrame:
     return pairs.groupBy("key").agg(F.sum("own").cast("long").alias("n_tokens"), F.bool_and(F.col("own").isNotNull()).alias("aligned"))
 
 
-def _count_long(long: DataFrame, model, hidden: int | None, step: int, overlap: int) -> DataFrame:
+def _count_long(long: DataFrame, model, hidden: int | None, marks: str | None, step: int, overlap: int) -> DataFrame:
     """(key, n_tokens) of the texts. Texts with chunks that don't align are done again with wider ones, at last in one piece."""
     found = []
     while True:
         if hidden is None:
             step = 1 << 31
-        encoded = _encode_chunks(cut(_chunks_of(long, step, overlap)), model, hidden or 0, overlap)
+        encoded = _encode_chunks(cut(_chunks_of(long, step, overlap)), model, hidden or 0, marks, overlap)
         # Equal texts have equal chunks.
         counted = cut(_spliced(encoded.dropDuplicates(["key", "k"])))
         found.append(counted.where("aligned").select("key", "n_tokens"))
@@ -171,11 +261,12 @@ def count_tokens(docs: DataFrame, model: str, keep: Iterable[str] = ("doc_id",),
     takes them, as one token each. A null text is empty and has no bytes and no tokens. Repeated rows stay, ids may be null,
     other columns play no part whatever their names; an empty table gives an empty one.
 
+    Counts are added up over parts of a text, of which the library encodes those that a worker didn't meet lately.
     Texts of more than step + overlap bytes are encoded in chunks, which tasks share out whatever text they are of, and
     spliced at proven boundaries (see above). A tokenizer of which these can't be proven encodes every text as a whole. A text
     without any boundary for long, like one endless word, is one piece in the end: the library's merges depend on all of it.
     """
-    hidden = margin(model)
+    hidden, marks = margin(model), marks_of(model)
     if hidden is not None and not 4 * hidden < overlap < step:
         raise ValueError(f"an overlap has more than {4 * hidden} bytes, which a cut may hide, and is shorter than a step")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -185,16 +276,14 @@ def count_tokens(docs: DataFrame, model: str, keep: Iterable[str] = ("doc_id",),
     long = long.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared.value)
+        counter = _counter(shared.value, marks)
         for batch in batches:
-            counts = [
-                len(e) for _, texts in chunks(batch.column("text"), BATCH) for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            ]
+            counts = [n for _, texts in chunks(batch.column("text"), BATCH) for n in counter([t.decode() for t in texts])]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["row", "n_bytes", "n_tokens"])
 
     kind = source.schema["row"].dataType.simpleString()
     counted = short.mapInArrow(run, f"row {kind}, n_bytes long, n_tokens long")
     if not long.isEmpty():
-        totals = _count_long(long.select("key", "text"), shared, hidden, step, overlap)
+        totals = _count_long(long.select("key", "text"), shared, hidden, marks, step, overlap)
         counted = counted.unionByName(long.select("row", "n_bytes", "key").join(totals, "key").drop("key"))
     return counted.select("row.*", "n_bytes", "n_tokens")
