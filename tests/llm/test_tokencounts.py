@@ -8,7 +8,7 @@ from tests.llm.helpers import AWKWARD, frame, prose, text
 
 from tidemark.llm.pieces import read_model
 from tidemark.llm.queries import token_path
-from tidemark.llm.tokencounts import LETTERS, WHITE, PartCounts, boundaries, count_tokens, cut_text, margin, marks_of, middle
+from tidemark.llm.tokencounts import ALPHABET, LETTERS, WHITE, WORD, PartCounts, boundaries, count_tokens, cut_text, margin, marks_of, middle
 
 PARTS = ["<|endoftext|>", "<|endof", "|>", "'", "'re", "don't", " ", "   ", "\n", "\n \t ", "héé", "日本語の", "🙂", "x" * 30, " 12345", "!?", "...", "　", "á", " The", "{}"]
 
@@ -92,15 +92,14 @@ def test_too_small_overlaps_are_refused(spark, model):
         count_tokens(frame(spark, ["a"]), model, step=100, overlap=20)
 
 
-class Recorder:
-    """The library's tokenizer, with the characters that it was given."""
+class Recorder(PartCounts):
+    """Counts the characters that are encoded."""
 
-    def __init__(self, library):
-        self.library, self.given = library, 0
+    given = 0
 
-    def encode_batch_fast(self, texts, **options):
-        self.given += sum(map(len, texts))
-        return self.library.encode_batch_fast(texts, **options)
+    def _encoded(self, parts):
+        self.given += sum(map(len, parts))
+        return super()._encoded(parts)
 
 
 ODD = PARTS + ["\x85", "\u2028", "\x1c", "\u200b", "e\u0301", "д", "²", ".", ",", "'S", "ß;", "\xa0", "w.", "<|endoftext|>.", "?a"]
@@ -118,9 +117,8 @@ def test_words_met_before_are_not_encoded_again(model, library):
     rng = random.Random(2)
     words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)]
     texts = [" ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(200)) for _ in range(100)]
-    recorder = Recorder(library)
-    counter = PartCounts(recorder, marks_of(model))
-    assert [n for t in texts for n in counter([t])] == [len(library.encode(t)) for t in texts]
+    recorder = Recorder(library, marks_of(model))
+    assert [n for t in texts for n in recorder([t])] == [len(library.encode(t)) for t in texts]
     assert recorder.given < 0.05 * sum(map(len, texts))
 
 
@@ -142,10 +140,17 @@ def test_white_space_and_letters_are_those_of_the_library(library):
             assert len(cut("a" + chr(k))) == 1, hex(k)
 
 
+def test_words_are_one_pre_token_in_the_alphabet_of_the_library(library):
+    letters = [chr(k) for k in range(0x300) if re.fullmatch(f"[{LETTERS}]", chr(k))]
+    words = ["s", "re", " d", " ll", " 0123456789", "7", "".join(letters), " " + "".join(letters[::-1])] + [x + y for x in (" ", "") for y in letters]
+    for word in words:
+        assert WORD.fullmatch(word) and [w for w, _ in library.pre_tokenizer.pre_tokenize_str(word)] == [word.encode().decode("latin-1").translate(ALPHABET)]
+
+
 def test_special_strings_forbid_cuts_inside_them(model, library):
     from tokenizers import AddedToken, Tokenizer
 
-    for special, marks in (("<a.b>", ",;:!?"), ("two words", None), ("!a", ".,;:?")):
+    for special, marks in (("<a.b>", ",;:!?"), ("two words", None), ("letters", None), ("42", None), ("!a", ".,;:?")):
         other = Tokenizer.from_str(model)
         other.add_special_tokens([AddedToken(special, normalized=False)])
         assert marks_of(other.to_str()) == marks

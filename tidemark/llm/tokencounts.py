@@ -40,6 +40,10 @@ HIDDEN = 3
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af"
 MARKS = ".,;:!?"
+#: A part that is one pre-token for certain, and the characters that stand for bytes in a byte-level vocabulary.
+WORD = re.compile(f" ?(?:[{LETTERS}]+|[0-9]+)")
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+ALPHABET = {b: chr(b) for b in SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
 #: Where white space begins behind something else.
 GAP = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
 #: Characters before the end of a chunk's middle that are searched first for a gap.
@@ -85,8 +89,10 @@ def marks_of(model: str) -> str | None:
     """Punctuation before which a text may be cut, behind a letter; None if parts of a text can't be counted by themselves."""
     if margin(model) is None:
         return None
-    special = "".join(t["content"] for t in json.loads(model)["added_tokens"])
-    return None if re.search(f"[{WHITE}]", special) else "".join(m for m in MARKS if m not in special)
+    special = [t["content"] for t in json.loads(model)["added_tokens"]]
+    if any(re.search(f"[{WHITE}]", s) or WORD.fullmatch(s) for s in special):
+        return None
+    return "".join(m for m in MARKS if not any(m in s for s in special))
 
 
 class PartCounts:
@@ -101,7 +107,7 @@ class PartCounts:
 
     def __call__(self, texts: list[str]) -> list[int]:
         if self.marks is None:
-            return self._encoded(texts)
+            return self._of_texts(texts)
         found = [self.parts.findall(t) for t in texts]
         parts = list(chain.from_iterable(found))
         counts = np.fromiter(map(self.kept.get, parts, repeat(-1)), np.int64, len(parts))
@@ -110,8 +116,7 @@ class PartCounts:
         new = {part: self.before.get(part, -1) for part in names}
         unseen = [part for part, n in new.items() if n < 0]
         for begin in range(0, len(unseen), PARTS):
-            some = unseen[begin : begin + PARTS]
-            new.update(zip(some, self._encoded(some)))
+            new.update(self._encoded(unseen[begin : begin + PARTS]))
         counts[missing] = [new[part] for part in names]
         self.kept.update(x for x in new.items() if len(x[0]) <= LONGEST)
         if len(self.kept) > KEPT:
@@ -119,7 +124,15 @@ class PartCounts:
         sums = np.concatenate(([0], np.cumsum(counts)))
         return np.diff(sums[np.cumsum([0] + [len(f) for f in found])]).tolist()
 
-    def _encoded(self, texts: list[str]) -> list[int]:
+    def _encoded(self, parts: list[str]) -> Iterator[tuple[str, int]]:
+        """Each part with its number of tokens; the library's model takes words without looking for pre-tokens first."""
+        words = [part for part in parts if WORD.fullmatch(part)]
+        others = [part for part in parts if not WORD.fullmatch(part)]
+        shown = "\n".join(words).encode().decode("latin-1").translate(ALPHABET).split(ALPHABET[10]) if words else []
+        tokens = self.tokenizer.model.tokenize
+        return chain(zip(words, [len(tokens(word)) for word in shown]), zip(others, self._of_texts(others)))
+
+    def _of_texts(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
