@@ -14,20 +14,27 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from tidemark.functions.times import micros
 from tidemark.operators.patterns import Machine
 
+#: Groups of keys of a processor that takes many keys at a time. A group's rows of a micro-batch are one task's work.
+GROUPS = 2048
+
 
 def keyed(
     df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: StructType | str, mode: str = "append", time_mode: str = "none", event_time: str = ""
 ) -> DataFrame:
     """Run a processor per key; needs the RocksDB state store (``runtime.state_store``).
 
-    With ``event_time``, a column of the output, the watermark goes on to the next stage.
+    With ``event_time``, a column of the output, the watermark goes on to the next stage. A ``ManyKeys`` processor runs per
+    group of keys, as a call of Python and of the state for each key is dear where keys have few rows.
     """
+    if isinstance(processor, ManyKeys):
+        return processor.run(df, keys, schema, mode)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="EventTime" if event_time else time_mode, eventTimeColumnName=event_time
     )
@@ -277,40 +284,116 @@ class PreviousAction(Ordered):
         return rows.assign(**{self.name: [before, *actions[:-1]]})
 
 
-class SequenceMatch(Ordered):
+class ManyKeys(StatefulProcessor):
+    """A processor over the rows of a group of keys; ``step`` gets them in order, key by key, with the number of each row's key.
+
+    Keys go to Python and come back as text, and null numbers as 0 with a column that tells them, as nulls would turn whole
+    numbers of the group into fractions.
+    """
+
+    def __init__(self, order: Sequence[str]):
+        self.order = list(order)
+        self.keys: list[str] = []
+
+    def run(self, df: DataFrame, keys: Sequence[str], schema: StructType | str, mode: str) -> DataFrame:
+        self.keys = list(keys)
+        schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        whole = [c for c in self.needed() if isinstance(df.schema[c].dataType, IntegralType) and c not in keys]
+        self.sorted_by = [n for c in self.order for n in ([missing(c), c] if c in whole else [c])]
+        shown = {c: F.coalesce(c, F.lit(0)) if c in whole else F.col(c).cast("string") if c in keys else F.col(c) for c in dict.fromkeys([*keys, *self.needed()])}
+        group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).cast("int").alias("key_group")
+        rows = df.select(group, *[c.alias(n) for n, c in shown.items()], *[F.col(c).isNull().alias(missing(c)) for c in whole])
+        texts = StructType([StructField(f.name, StringType()) if f.name in keys else f for f in schema.fields])
+        out = rows.groupBy("key_group").transformWithStateInPandas(statefulProcessor=self, outputStructType=texts, outputMode=mode, timeMode="none")
+        return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def needed(self) -> list[str]:
+        """The columns that ``step`` needs besides the keys."""
+        return list(self.order)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        out = self.step(pd.concat(list(rows), ignore_index=True))
+        if len(out):
+            yield out
+
+    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def missing(column: str) -> str:
+    """The column that tells where another one is null. Names that begin with an underscore don't come through to Python."""
+    return f"missing_{column}"
+
+
+def numbered(columns: Sequence[pd.Series]) -> np.ndarray:
+    """Rows with the same values in all columns get the same number, nulls being equal."""
+    number = np.zeros(len(columns[0]), "int64")
+    for column in columns:
+        own, names = pd.factorize(column, use_na_sentinel=False)
+        number = pd.factorize(number * max(len(names), 1) + own)[0]
+    return number
+
+
+class SequenceMatch(ManyKeys):
     """Stored first elements are matched and cleared by the next second one.
 
     Rows carry ``is_first`` and ``is_second``, as ``joins.rule_join`` adds them, and the
-    stream is keyed by rule as well.
+    stream is keyed by rule as well. What waits in a group of keys is one list.
     """
 
     def __init__(self, order, item: str):
         super().__init__(order)
         self.item = item
 
-    def open(self, handle):
-        self.waiting = self.items(handle, "waiting", "item long")
+    def needed(self):
+        return [*dict.fromkeys([*self.order, self.item]), "is_first", "is_second"]
 
-    def step(self, key, rows):
-        waiting = [i[0] for i in self.waiting.get()]
-        held = len(waiting)
-        items = rows[self.item].to_numpy()
+    def init(self, handle):
+        names = ", ".join(f"k{n} string" for n in range(len(self.keys)))
+        self.waiting = handle.getListState("waiting", f"{names}, item long")
+
+    def step(self, rows):
+        held = list(self.waiting.get())
+        known = [pd.Series([h[n] for h in held], dtype=object) for n in range(len(self.keys))]
+        who = numbered([pd.concat([k, rows[c].astype(object)], ignore_index=True) for c, k in zip(self.keys, known)])
+        held_by, held_item = who[: len(held)], np.array([h[-1] for h in held], "int64")
+        rows = rows.assign(**{"__who": who[len(held) :]}).sort_values(["__who", *self.sorted_by], kind="stable", ignore_index=True)
+        who, items = rows["__who"].to_numpy(), rows[self.item].to_numpy()
         firsts = np.flatnonzero(rows["is_first"].fillna(False).to_numpy(dtype=bool))
         seconds = np.flatnonzero(rows["is_second"].fillna(False).to_numpy(dtype=bool))
-        # The second element that ends the waiting of each first one: the next later row, for stored ones the first row.
-        next_one = np.searchsorted(seconds, firsts, "right")
-        matched = next_one < len(seconds)
-        pairs = [(w, items[seconds[0]]) for w in waiting] if len(seconds) else []
-        pairs += list(zip(items[firsts[matched]], items[seconds[next_one[matched]]]))
-        waiting = ([] if len(seconds) else waiting) + [int(i) for i in items[firsts[~matched]]]
-        if len(waiting) > held or len(seconds):
-            if waiting:
-                self.waiting.put([(w,) for w in waiting])
-            elif held:
+
+        def next_second(places: np.ndarray, owners: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray]:
+            """The second element of the same key behind (right) or from (left) each place, and where there is one."""
+            found = np.searchsorted(seconds, places, side)
+            there = found < len(seconds)
+            there[there] = who[seconds[found[there]]] == owners[there]
+            return seconds[found[there]], there
+
+        # The second element that ends the waiting of each first one: the next later row, for stored ones the first of the key.
+        ends, matched = next_second(firsts, who[firsts], "right")
+        frees, freed = next_second(np.searchsorted(who, held_by), held_by, "left")
+        left = firsts[~matched]
+        used = np.concatenate([firsts, ends, frees])
+        if missing(self.item) in rows.columns and rows[missing(self.item)].to_numpy(bool)[used].any():
+            raise ValueError(f"{self.item} is null")
+        if freed.any():
+            kept = [tuple(held[k]) for k in np.flatnonzero(~freed)] + self._waiting(rows, items, left)
+            if kept:
+                self.waiting.put(kept)
+            else:
                 self.waiting.clear()
-        out = pd.DataFrame(pairs, columns=["first_id", "second_id"], dtype="int64")
-        names = [c for c in rows.columns if c in self.key_columns]
-        return out.assign(**{c: rows[c].iloc[0] for c in names})[[*names, "first_id", "second_id"]]
+        elif len(left):
+            self.waiting.appendList(self._waiting(rows, items, left))
+        at = np.concatenate([frees, ends])
+        out = rows.iloc[at][[c for c in self.keys if c in self.key_columns]].reset_index(drop=True)
+        return out.assign(first_id=np.concatenate([held_item[freed], items[firsts[matched]]]).astype("int64"), second_id=items[at].astype("int64"))
+
+    def _waiting(self, rows: pd.DataFrame, items: np.ndarray, left: np.ndarray) -> list[tuple]:
+        texts = [[None if pd.isna(v) else v for v in rows[c].iloc[left]] for c in self.keys]
+        return list(zip(*texts, (int(i) for i in items[left])))
 
     key_columns: Sequence[str] = ()
 
