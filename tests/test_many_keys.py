@@ -50,6 +50,19 @@ def test_a_call_takes_many_keys(spark, monkeypatch):
     assert max(p["numRowsTotal"] for p in said) <= 2 * 5
 
 
+def test_rows_without_a_user_do_not_split_other_keys(spark):
+    """Rows of a key that came to Python in several Arrow batches were taken in several calls if there were keys of null."""
+    rng, key = random.Random(3), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    data = [(k, rng.choice([None, None, *range(6)]), rng.choice("abc")) for k in range(900)]
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "40")
+    try:
+        got, _ = progress(matches(spark, [rng.sample(data, len(data))]))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert rows(got) == expected(data) != []
+
+
 def test_a_null_item_is_an_error(spark):
     with pytest.raises(Exception, match="at is null"):
         progress(matches(spark, [[(1, 1, "a"), (None, 1, "b")]]))
